@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kbforge.llm import components, sql, survivor
+from kbforge.llm import chunking, components, leaks, packing, sql, survivor
 from kbforge.sources.tables import table
 
 
+def p1_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return chunking.split_oversized(table(spark, folder, "ts_wikipedia_en_embed"))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p1_pieces(spark, folder).where("piece_index = 0").select("source_id", "chunk_index", "boundary")
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     won = survivor.image_records(table(spark, folder, "is_pd12m"), table(spark, folder, "source_trust"))
     zero = F.lit(0).cast("long")
@@ -27,9 +35,29 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return components.connected_components(components.match_edges(table(spark, folder, "image_match")))
 
 
+def p7_pack(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+def p7_fill(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.fill_report(p7_pack(spark, folder))
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents over one container, from the containers that hold their pieces."""
+    return p7_pack(spark, folder).where("n_pieces > 1").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pieces"))
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "eval_item"))
+
+
 def queries() -> dict:
-    return {"p2_found": p2_found, "p2_records": p2_records, "p4_found": p4_found}
+    return {
+        "p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_records": p2_records, "p4_found": p4_found,
+        "p7_found": p7_found, "p7_pack": p7_pack, "p7_fill": p7_fill, "p8_found": p8_found,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": sql.P2_FOUND, "p4_found": sql.P4_FOUND}
+    return {"p2_found": sql.P2_FOUND, "p4_found": sql.P4_FOUND, "p7_found": sql.P7_FOUND}

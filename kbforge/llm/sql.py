@@ -35,3 +35,7 @@ edges AS (SELECT a, b FROM linked UNION SELECT b, a FROM linked),
 reach AS (SELECT a, a AS b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a)
 SELECT min(b) AS group_id, a AS id FROM reach GROUP BY a
 """
+
+P7_FOUND = """
+SELECT doc_id, ceil((strlen(text) + 1) / 4096.0)::BIGINT AS n_pieces FROM documents WHERE strlen(text) + 1 > 4096
+"""
