@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kbforge.llm import chunking, components, leaks, packing, sql, survivor
+from kbforge.llm import chunking, components, leaks, packing, quality, sql, survivor
 from kbforge.sources.tables import table
 
 
@@ -52,12 +52,25 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "eval_item"))
 
 
+def p9_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.document_labels(table(spark, folder, "documents"), table(spark, folder, "doc_label"))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p9_labels(spark, folder).where("kind <> 'prose'").select("doc_id", "kind")
+
+
+def p9_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.statistics(table(spark, folder, "documents"))
+
+
 def queries() -> dict:
     return {
         "p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_records": p2_records, "p4_found": p4_found,
         "p7_found": p7_found, "p7_pack": p7_pack, "p7_fill": p7_fill, "p8_found": p8_found,
+        "p9_found": p9_found, "p9_labels": p9_labels, "p9_statistics": p9_statistics,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": sql.P2_FOUND, "p4_found": sql.P4_FOUND, "p7_found": sql.P7_FOUND}
+    return {"p2_found": sql.P2_FOUND, "p4_found": sql.P4_FOUND, "p7_found": sql.P7_FOUND, "p9_statistics": sql.P9_STATISTICS}

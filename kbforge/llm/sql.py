@@ -1,5 +1,6 @@
 """DuckDB SQL of the training-data queries that SQL can express."""
 
+from kbforge.llm.quality import COMMON
 from kbforge.llm.survivor import CAMERA_NAME, FILE_NAME, NO_CAPTION
 
 _FLAT = r"lower(trim(regexp_replace(caption, '[\s ]+', ' ', 'g')))"
@@ -39,3 +40,22 @@ SELECT min(b) AS group_id, a AS id FROM reach GROUP BY a
 P7_FOUND = """
 SELECT doc_id, ceil((strlen(text) + 1) / 4096.0)::BIGINT AS n_pieces FROM documents WHERE strlen(text) + 1 > 4096
 """
+
+_COMMON = ", ".join(f"'{w}'" for w in sorted({w for ws in COMMON.values() for w in ws.split()}))
+
+P9_STATISTICS = rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+s AS (SELECT doc_id, t,
+    list_filter(regexp_split_to_array(lower(t), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS w,
+    list_filter(regexp_split_to_array(t, '[\r\n]+'), lambda x: trim(x) <> '') AS l FROM t),
+c AS (SELECT doc_id, len(w) AS nw, len(l) AS nl, length(t) AS nc, length(array_to_string(w, '')) AS letters,
+    length(regexp_replace(t, '[\p{{L}}\p{{N}}\s]', '', 'g')) AS symbols,
+    len(list_filter(l, lambda x: regexp_matches(x, '[.!?。！？]["''”’)\]]*\s*$'))) AS ended,
+    len(list_filter(w, lambda x: x IN ({_COMMON}))) AS common FROM s)
+SELECT doc_id, nw::BIGINT AS n_words, nl::BIGINT AS n_lines,
+  CASE WHEN nw > 0 THEN round(letters / nw, 6) ELSE 0.0 END AS mean_word_length,
+  CASE WHEN nc > 0 THEN round(symbols / nc, 6) ELSE 0.0 END AS symbol_ratio,
+  CASE WHEN nl > 0 THEN round(ended / nl, 6) ELSE 0.0 END AS ended_share,
+  CASE WHEN nw > 0 THEN round(common / nw, 6) ELSE 0.0 END AS common_share
+FROM c
+"""
