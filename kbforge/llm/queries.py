@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kbforge.llm import chunking, components, leaks, packing, quality, sql, survivor
+from kbforge.llm import chunking, components, leaks, neighbours, packing, quality, sql, survivor
 from kbforge.sources.tables import table
 
 
@@ -35,6 +35,12 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return components.connected_components(components.match_edges(table(spark, folder, "image_match")))
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    chunk = neighbours.similar_pairs(table(spark, folder, "ts_wikipedia_en_embed"), "id", "vector")
+    image = neighbours.similar_pairs(table(spark, folder, "emb_table"), "id", "emb_vector_col")
+    return chunk.select(F.lit("chunk").alias("collection"), "id_a", "id_b").unionByName(image.select(F.lit("image").alias("collection"), "id_a", "id_b"))
+
+
 def p7_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
@@ -66,7 +72,7 @@ def p9_statistics(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict:
     return {
-        "p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_records": p2_records, "p4_found": p4_found,
+        "p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_records": p2_records, "p4_found": p4_found, "p5_found": p5_found,
         "p7_found": p7_found, "p7_pack": p7_pack, "p7_fill": p7_fill, "p8_found": p8_found,
         "p9_found": p9_found, "p9_labels": p9_labels, "p9_statistics": p9_statistics,
     }
