@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kbforge.llm import chunking, components, leaks, neighbours, packing, quality, sql, survivor
+from kbforge.llm import chunking, components, leaks, neighbours, packing, pairs, quality, sql, survivor
 from kbforge.sources.tables import table
 
 
@@ -41,6 +41,14 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return chunk.select(F.lit("chunk").alias("collection"), "id_a", "id_b").unionByName(image.select(F.lit("image").alias("collection"), "id_a", "id_b"))
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return pairs.pair_defects(table(spark, folder, "ts_ms_marco"))
+
+
+def p6_clauses(spark: SparkSession, folder: str) -> DataFrame:
+    return pairs.tagged_clauses(table(spark, folder, "ts_ms_marco"))
+
+
 def p7_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
@@ -73,6 +81,7 @@ def p9_statistics(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict:
     return {
         "p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_records": p2_records, "p4_found": p4_found, "p5_found": p5_found,
+        "p6_found": p6_found, "p6_clauses": p6_clauses,
         "p7_found": p7_found, "p7_pack": p7_pack, "p7_fill": p7_fill, "p8_found": p8_found,
         "p9_found": p9_found, "p9_labels": p9_labels, "p9_statistics": p9_statistics,
     }
