@@ -32,7 +32,8 @@ def scores(corpus: DataFrame, key: str, fields: list[str], queries: list[str], k
     if not terms:
         return corpus.sparkSession.createDataFrame([], f"query long, {key} {corpus.schema[key].dataType.simpleString()}, score double")
     held = corpus.select(F.col(key), *[tokens(F.col(f)).alias(f"t_{i}") for i, f in enumerate(fields)])
-    counts = lambda i: F.array(*[F.size(F.filter(f"t_{i}", lambda x, t=t: x == t)) for t in terms])
+    times = lambda i, term: F.size(F.filter(f"t_{i}", lambda x: x == term))
+    counts = lambda i: F.array(*[times(i, term) for term in terms])
     sized = held.select(key, *[F.size(f"t_{i}").alias(f"n_{i}") for i in range(len(fields))], *[counts(i).alias(f"f_{i}") for i in range(len(fields))])
     stats = sized.agg(
         F.count(F.lit(1)).alias("rows"),

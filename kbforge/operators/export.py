@@ -9,10 +9,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from kbforge.functions import texts
-
 MOST_BYTES = 1_000_000_000
 
 
@@ -48,7 +47,7 @@ def pack_shards(df: DataFrame, key: str, columns: list[str], most: int = MOST_BY
     header = len((",".join(columns) + "\r\n").encode())
     sized = df.withColumn("line", csv_line(*[F.col(c) for c in columns])).withColumn("bytes", F.octet_length("line").cast("long"))
     ranged = sized.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("part", F.spark_partition_id())
-    schema = ranged.schema.simpleString()[7:-1]
+    schema = T.StructType([*ranged.schema.fields, T.StructField("place", T.LongType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard, held = 0, header
@@ -61,7 +60,7 @@ def pack_shards(df: DataFrame, key: str, columns: list[str], most: int = MOST_BY
                 held += s
             yield batch.assign(place=out)
 
-    folded = ranged.mapInPandas(run, ",".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema) + ", place long") if schema else ranged
+    folded = ranged.mapInPandas(run, schema)
     return folded.withColumn("shard", F.format_string("%05d-%07d", "part", "place"))
 
 
@@ -113,5 +112,3 @@ def python_csv_line(values: list[str]) -> str:
     csv.writer(buffer).writerow(values)
     return buffer.getvalue()
 
-
-srt_time = texts.subtitle_time

@@ -43,7 +43,7 @@ def fusion_score(distance: Column, score: Column, f: Fusion) -> Column:
 
 def outer_merge(vector_hits: DataFrame, keyword_hits: DataFrame, key: str = "id") -> DataFrame:
     """(key, distance, similarity, score): all rows of either side; what the other side lacks is null."""
-    left = vector_hits.select(key, "distance", F.round(V.distance_similarity(F.col("distance")), DIGITS).alias("similarity"))
+    left = vector_hits.select(key, "distance", F.round(V.distance_similarity(F.col("distance")), DIGITS + 1).alias("similarity"))
     return left.join(keyword_hits.select(key, "score"), key, "full_outer")
 
 

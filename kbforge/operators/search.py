@@ -111,7 +111,7 @@ def decayed(hits: DataFrame, decay: float = 0.3, most: float = 1.4) -> DataFrame
     """Hits whose distance is stretched by 1 + decay * position of their query in its list, kept below ``most``, with
     the similarity made anew; one row per key."""
     stretched = hits.withColumn("distance", F.round(F.col("distance") * (1 + F.lit(decay) * F.col("position")), DIGITS)).where(F.col("distance") < most)
-    return stretched.withColumn("similarity", F.round(V.distance_similarity(F.col("distance")), DIGITS))
+    return stretched.withColumn("similarity", F.round(V.distance_similarity(F.col("distance")), DIGITS + 1))
 
 
 def greatest_similarity(columns: list[str], query: list[float]) -> Column:

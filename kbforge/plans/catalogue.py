@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from kbforge.operators import packed
-from kbforge.sources.tables import table
+from kbforge.plans import hybrid_queries, registry, vector_queries  # noqa: F401  (registration)
+from kbforge.plans.registry import Tables, query
 
 
-def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    return packed.split_packed(table(spark, folder, "ts_arxiv"), "id", (packed.NAMES, packed.CODES))
+@query("p3_found")
+def p3_found(t: Tables) -> DataFrame:
+    return packed.split_packed(t.ts_arxiv, "id", (packed.NAMES, packed.CODES))
 
 
 def queries() -> dict:
-    return {"p3_found": p3_found}
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(registry.SQL)
