@@ -85,9 +85,9 @@ def cumulative_shards(df: DataFrame, size: Column, group: list[str], order: list
 
 
 def dump(df: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
-    """The table as CSV with a header, without its storage columns and vectors."""
+    """The table as CSV with a header, without its storage columns and vectors; null is \\\\N, so that it is no empty text."""
     hidden = [c for c in df.columns if c in ("origin_storage_id", "processed_storage_id") or c.startswith("vector")]
-    df.drop(*hidden).write.option("header", "true").option("escape", '"').option("maxRecordsPerFile", rows_per_file).csv(path)
+    df.drop(*hidden).write.option("header", "true").option("escape", '"').option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").option("nullValue", "\\N").option("maxRecordsPerFile", rows_per_file).csv(path)
 
 
 def subtitles(cues: DataFrame, group: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from kbforge.operators import packed
-from kbforge.plans import hybrid_queries, registry, vector_queries  # noqa: F401  (registration)
+from kbforge.plans import hybrid_queries, registry, table_queries, text_queries, vector_queries  # noqa: F401  (registration)
 from kbforge.plans.registry import Tables, query
 
 

@@ -36,9 +36,9 @@ def tolerant_json_lines(spark: SparkSession, path: str, schema: str, folder: boo
     return kept.where(F.col(BAD).isNull() & F.coalesce(*[F.col(c).isNotNull() for c in names[:1]])).select(*names), kept.where(F.col(BAD).isNotNull()).select(F.col(BAD).alias("line"))
 
 
-def csv_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """CSV with a header, quoted fields over several lines, fields of any length."""
-    reader = spark.read.option("header", "true").option("multiLine", "true").option("quote", '"').option("escape", '"').option("maxCharsPerColumn", "-1")
+def csv_table(spark: SparkSession, path: str, schema: str | None = None, null: str = "\\N") -> DataFrame:
+    """CSV with a header, quoted fields over several lines, fields of any length; ``null`` is how null is written."""
+    reader = spark.read.option("header", "true").option("multiLine", "true").option("quote", '"').option("escape", '"').option("maxCharsPerColumn", "-1").option("nullValue", null)
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
@@ -58,7 +58,7 @@ def passages(items: DataFrame, limit: int | None = None) -> DataFrame:
     parallel arrays): its place from 0, answers trimmed. ``limit`` keeps the first items by query_id."""
     some = items if limit is None else items.orderBy("query_id").limit(limit)
     zipped = F.arrays_zip("passages.passage_text", "passages.is_selected", "passages.url")
-    trimmed = lambda c: F.transform(c, F.trim)
+    trimmed = lambda c: F.transform(c, lambda x: F.trim(x))
     flat = some.select("query_id", "query", "query_type", trimmed(F.col("answers")).alias("answers"), trimmed(F.col("wellFormedAnswers")).alias("well_formed_answers"), F.posexplode(zipped).alias("passage_id", "p"))
     return flat.select("query_id", "query", "query_type", "answers", "well_formed_answers", F.col("passage_id").cast("long"), "p.passage_text", F.col("p.is_selected").cast("long").alias("is_selected"), "p.url")
 

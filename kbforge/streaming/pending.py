@@ -21,7 +21,13 @@ def incremental(spark: SparkSession, source: str, schema, work: Callable[[DataFr
     def each(batch: DataFrame, _: int) -> None:
         added[0] += sink.insert(work(batch))
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    path = spark._jvm.org.apache.hadoop.fs.Path(source)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        stream = reader.parquet(source)
+    else:  # a source is a folder; a single file is picked out of its own
+        folder, _, name = source.rpartition("/")
+        stream = reader.option("pathGlobFilter", name).parquet(folder)
     query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return added[0]
