@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from kbforge.staging import once
+
 K1, B = 1.2, 0.75
 DIGITS = 6
 
@@ -31,10 +33,13 @@ def scores(corpus: DataFrame, key: str, fields: list[str], queries: list[str], k
     terms = sorted({t for q in queries for t in query_terms(q)})
     if not terms:
         return corpus.sparkSession.createDataFrame([], f"query long, {key} {corpus.schema[key].dataType.simpleString()}, score double")
-    held = corpus.select(F.col(key), *[tokens(F.col(f)).alias(f"t_{i}") for i, f in enumerate(fields)])
+    # Each text is split once and thinned to the queried terms once; what follows looks at those few words only.
+    flat = lambda f: F.regexp_replace(F.lower(F.coalesce(F.col(f), F.lit(""))), "^[^a-z0-9]+|[^a-z0-9]+$", "")
+    held = once(corpus, [key], {f"w_{i}": F.split(flat(f), "[^a-z0-9]+") for i, f in enumerate(fields)})
+    length = lambda i: F.when(F.get(f"w_{i}", F.lit(0)) == "", 0).otherwise(F.size(f"w_{i}"))
+    thin = once(held, [key], {f"n_{i}": length(i) for i in range(len(fields))} | {f"t_{i}": F.filter(f"w_{i}", lambda x: x.isin(terms)) for i in range(len(fields))})
     times = lambda i, term: F.size(F.filter(f"t_{i}", lambda x: x == term))
-    counts = lambda i: F.array(*[times(i, term) for term in terms])
-    sized = held.select(key, *[F.size(f"t_{i}").alias(f"n_{i}") for i in range(len(fields))], *[counts(i).alias(f"f_{i}") for i in range(len(fields))])
+    sized = once(thin, [key, *[f"n_{i}" for i in range(len(fields))]], {f"f_{i}": F.array(*[times(i, term) for term in terms]) for i in range(len(fields))})
     stats = sized.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.avg(f"n_{i}").alias(f"avg_{i}") for i in range(len(fields))],

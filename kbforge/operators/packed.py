@@ -6,8 +6,9 @@ that hold no delimiter of a stronger family and look like the field's type). Sco
 source; without a source column every string is its own source, as where each record is packed in its own way.
 What stands in double quotes or parentheses is never divided.
 
-Defined results: a null, blank or all-delimiter string gives no row; empty pieces are dropped and not counted; an
-unbalanced quote or parenthesis is an ordinary character; repeated input rows give repeated output rows.
+Defined results: a null, blank or all-delimiter string gives no row, and neither does a row without a key; empty
+pieces are dropped and not counted; an unbalanced quote or parenthesis is an ordinary character; repeated input rows
+give repeated output rows; other columns play no part.
 """
 
 from __future__ import annotations
@@ -182,7 +183,7 @@ def split_packed(df: DataFrame, key: str, fields: tuple[Packed, ...], source: st
         parts = []
         for packed in fields:
             chosen = infer_delimiters(df, packed, source)
-            rows = df.select(key, F.col(source).cast("string").alias("source"), F.col(packed.column).alias("text"))
+            rows = df.where(F.col(key).isNotNull()).select(key, F.col(source).cast("string").alias("source"), F.col(packed.column).alias("text"))
             joined = rows.join(chosen, rows["source"].eqNullSafe(chosen["source"]), "left").select(key, "text", "family")
             parts.append(_explode(joined, key, packed))
         out = parts[0]
@@ -203,7 +204,7 @@ def split_packed(df: DataFrame, key: str, fields: tuple[Packed, ...], source: st
                     out += [(k, column, i, v) for i, v in enumerate(splitter.split(text), 1)]
             yield pd.DataFrame(out, columns=[key, "field", "pos", "value"])
 
-    return df.select(F.col(key).alias("key"), *columns).mapInPandas(run, schema)
+    return df.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), *columns).mapInPandas(run, schema)
 
 
 def _explode(rows: DataFrame, key: str, packed: Packed) -> DataFrame:

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
@@ -48,3 +48,9 @@ def rows_up_to(df: DataFrame, most: int) -> int:
 def broadcast_if_small(df: DataFrame, most: int) -> DataFrame:
     """A broadcast hint where the table has at most ``most`` rows, else the table as it is (a shuffle join follows)."""
     return F.broadcast(df) if rows_up_to(df, most) <= most else df
+
+
+def once(df: DataFrame, kept: list[str], made: dict[str, Column]) -> DataFrame:
+    """``kept`` columns and ``made`` ones, each of these computed once per row. A plain projection would be merged into
+    the one above it, and an expression that is used there several times would be computed as often."""
+    return df.select(*kept, F.explode(F.array(F.struct(*[c.alias(n) for n, c in made.items()]))).alias("once_")).select(*kept, *[F.col(f"once_.{n}").alias(n) for n in made])
