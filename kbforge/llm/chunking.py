@@ -5,7 +5,7 @@ strongest boundary near it (paragraph before sentence before word). Where any pi
 the limit, one more piece is tried. A stretch without any boundary is cut at the target itself.
 
 Defined results: null and blank texts and texts within the limit give no piece; the same key stored more than once
-counts once (the text of the smallest id); lengths are in characters (code points).
+counts once (the text of the smallest id); a null key is a key of its own; lengths are in characters (code points).
 """
 
 from __future__ import annotations
@@ -96,4 +96,6 @@ def split_oversized(chunks: DataFrame, limit: int = LIMIT, overlap: int = 1) ->
             yield pd.DataFrame(rows, columns=columns)
 
     schema = "source_id long, chunk_index long, piece_index long, n_pieces long, boundary string, overlap_chars long, chunk_text string"
-    return large.select("source_id", "chunk_index", "chunk_text").mapInPandas(run, schema)
+    keys = [F.col(c).cast("string").alias(c) for c in ("source_id", "chunk_index")]  # a null would make them doubles
+    named = large.select(*keys, "chunk_text").mapInPandas(run, schema.replace("source_id long, chunk_index long", "source_id string, chunk_index string"))
+    return named.withColumns({c: F.col(c).cast("long") for c in ("source_id", "chunk_index")})

@@ -10,7 +10,7 @@ verified by comparing the windows word by word.
 The items are small and fixed; they travel to the workers in blocks of at most BLOCK items, as many blocks as there
 are, and every document is read whole. No text is shuffled.
 
-Defined results: null and blank texts and items without a word match nothing; a document that leaks an item in many
+Defined results: null and blank texts, rows without an id and items without a word match nothing; a document that leaks an item in many
 places is reported once; repeated documents are reported each; an empty item table gives an empty result.
 """
 
@@ -138,7 +138,7 @@ def leaks(documents: DataFrame, items: DataFrame, block: int = BLOCK) -> DataFra
     """(doc_id, item_id) of every document that leaks an item."""
     schema = "doc_id long, item_id long"
     out, held = None, []
-    rows = items.where("text is not null").select("item_id", "text").toLocalIterator()
+    rows = items.where("text is not null and item_id is not null").select("item_id", "text").toLocalIterator()
 
     def find(texts: list[tuple[int, str]]) -> DataFrame:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,7 +149,7 @@ def leaks(documents: DataFrame, items: DataFrame, block: int = BLOCK) -> DataFra
                 found = sorted(index.search(docs))
                 yield pd.DataFrame({"doc_id": [ids[k] for k, _ in found], "item_id": [item for _, item in found]}, dtype="int64")
 
-        return documents.where("text is not null").select("doc_id", "text").mapInPandas(run, schema)
+        return documents.where("text is not null and doc_id is not null").select("doc_id", "text").mapInPandas(run, schema)
 
     for row in rows:
         held.append((row["item_id"], row["text"]))

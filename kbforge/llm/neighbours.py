@@ -12,7 +12,7 @@ Blocks that hold many vectors are cut into parts of at most PART vectors and QUE
 spread over tasks and nothing is dropped. Only the block sizes and the centres (both about 2 * sqrt(n)) reach the
 driver.
 
-Defined results: only vectors of ``dim`` finite elements that are not all zero count; a vector is no neighbour of
+Defined results: only vectors of ``dim`` finite elements that are not all zero count, and rows without an id don't; a vector is no neighbour of
 itself; copies are neighbours of similarity 1; ties go to the smaller id; an empty table gives an empty result.
 """
 
@@ -50,7 +50,7 @@ def usable(df: DataFrame, key: str, vector: str, dim: int) -> DataFrame:
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     ok = (F.size(v) == dim) & finite & F.exists(v, lambda x: x != 0)
     flat = F.transform(v, lambda x: x + F.lit(0.0).cast("float"))  # -0 becomes 0
-    return df.where(v.isNotNull()).where(ok).select(F.col(key).alias("id"), flat.alias("vec")).select("id", "vec", F.xxhash64("vec").alias("h1"), F.xxhash64("vec", F.lit(SEED)).alias("h2"))
+    return df.where(v.isNotNull() & F.col(key).isNotNull()).where(ok).select(F.col(key).alias("id"), flat.alias("vec")).select("id", "vec", F.xxhash64("vec").alias("h1"), F.xxhash64("vec", F.lit(SEED)).alias("h2"))
 
 
 def centres(rows: DataFrame, n: int) -> np.ndarray:

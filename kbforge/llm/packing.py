@@ -6,7 +6,7 @@ partitions with opposing imbalances are merged, the two most unbalanced first, i
 number that could hold the block and rises while any window is over the capacity. What a block's windows leave open
 is the only loss against the whole table, and it is reported by ``fill_report``.
 
-Defined results: a null text is no item; an empty text is one token (its end mark); repeated texts are items of
+Defined results: a null text is no item, nor is one without an id; an empty text is one token (its end mark); repeated texts are items of
 their own; an empty table gives no container.
 """
 
@@ -107,7 +107,7 @@ def pieces(documents: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """
     tokens = F.octet_length("text").cast("long") + 1
     n = F.ceil(F.col("t") / F.lit(capacity)).cast("long")
-    sized = documents.where("text is not null").select("doc_id", tokens.alias("t")).withColumn("n_pieces", n)
+    sized = documents.where("text is not null and doc_id is not null").select("doc_id", tokens.alias("t")).withColumn("n_pieces", n)
     cut = sized.select("doc_id", "t", "n_pieces", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_pieces") - 1)).alias("piece"))
     return cut.select("doc_id", "piece", "n_pieces", F.least(F.lit(capacity).cast("long"), F.col("t") - F.col("piece") * capacity).alias("tokens"))
 

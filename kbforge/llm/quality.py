@@ -10,7 +10,7 @@ The model is fitted at run time on a bounded sample of labelled documents (SAMPL
 so at random and the same each time). First all lines take their document's label; then lines are decoded again under
 the document's label and the model is refitted, a few times. Everything else covers all documents whole.
 
-Defined results: null and blank texts have no line, zero statistics and no kind; without any usable label there is
+Defined results: null and blank texts have no line, zero statistics and no kind, and rows without an id no kind; without any usable label there is
 no model and no kind is given; repeated documents are labelled each.
 """
 
@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kbforge.staging import once
+
 KINDS = ("prose", "list", "table", "junk")
 SAMPLE = 4000
 ROUNDS = 6
@@ -376,7 +378,7 @@ def label_shares(model: LineModel, texts: list[bytes]) -> tuple[np.ndarray, np.n
 def sample_of(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[bytes], list[str]]:
     """Texts and labels of at most ``sample`` labelled documents, the same ones each time."""
     label = F.lower(F.trim("label"))
-    some = labels.where(label.isin(list(KINDS))).select("doc_id", label.alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
+    some = labels.where(label.isin(list(KINDS)) & F.col("doc_id").isNotNull()).select("doc_id", label.alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
     held = {}
     for row in some.collect():
         held.setdefault(row["doc_id"], []).append(row["label"])
@@ -409,7 +411,7 @@ def document_labels(documents: DataFrame, labels: DataFrame, sample: int = SAMPL
                 out = {"doc_id": ids[i:j][some], "kind": best, "n_lines": lines[some]}
                 yield pd.DataFrame(out | {k: shares[some, s] for s, k in enumerate(KINDS)})
 
-    return documents.where("trim(text) <> ''").select("doc_id", "text").mapInPandas(run, schema)
+    return documents.where("trim(text) <> '' and doc_id is not null").select("doc_id", "text").mapInPandas(run, schema)
 
 
 def blocks(texts: list[bytes], most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
@@ -432,7 +434,7 @@ def statistics(documents: DataFrame) -> DataFrame:
     lines = F.filter(F.split(F.col("t"), r"[\r\n]+"), lambda x: F.trim(x) != "")
     common = sorted({w for ws in COMMON.values() for w in ws.split()})
     ratio = lambda a, b: F.when(b > 0, F.round(a / b, 6)).otherwise(F.lit(0.0))
-    held = documents.select("doc_id", text.alias("t")).select("doc_id", "t", words.alias("w"), lines.alias("l"))
+    held = once(documents.select("doc_id", text.alias("t")), ["doc_id", "t"], {"w": words, "l": lines})
     n_words, n_lines, n_chars = F.size("w"), F.size("l"), F.length("t")
     letters = F.length(F.array_join("w", ""))
     symbols = F.length(F.regexp_replace("t", r"[\p{L}\p{N}\s]", ""))
