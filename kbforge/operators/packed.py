@@ -1,13 +1,13 @@
 """Several values packed in one field: infer the delimiter, split, and give each value a row and a position.
 
-The delimiter of a source is inferred by scoring candidate families. A family's score on one string has two parts:
-piece-count consistency (does the family divide the string at all) and piece-type regularity (the share of pieces
-that hold no delimiter of a stronger family and look like the field's type). Scores are summed over the rows of a
-source; without a source column every string is its own source, as where each record is packed in its own way.
+The delimiter of a source is inferred by scoring candidate families. A family's score on one string has three parts:
+piece-count consistency (does the family divide the string at all), and the regularity of the pieces (the share that
+holds no delimiter of a stronger family, and the share that looks like the field's type). Scores are summed over the
+rows of a source; without a source column every string is its own source, as where each record is packed in its own way.
 What stands in double quotes or parentheses is never divided.
 
 Defined results: a null, blank or all-delimiter string gives no row, and neither does a row without a key; empty
-pieces are dropped and not counted; an unbalanced quote or parenthesis is an ordinary character; repeated input rows
+pieces and pieces of bare delimiters are dropped and not counted; an unbalanced quote or parenthesis is an ordinary character; repeated input rows
 give repeated output rows; other columns play no part.
 """
 
@@ -28,6 +28,8 @@ from pyspark.sql.window import Window
 QUOTED = re.compile(r'"(?:[^"]|"")*"')
 INNERMOST = re.compile(r"\([^()]*\)")
 SPACES = re.compile(r"\s+")
+#: A piece of nothing but delimiters is empty.
+BARE = re.compile(r"[\s,;|&]*")
 QUOTED_WITH_NOTE = re.compile(r'"((?:[^"]|"")*)"(\s*\(.*\))?', re.S)
 
 
@@ -109,23 +111,22 @@ class Splitter:
         self.families = [(n, re.compile(p, flags), re.compile(EVIDENCE.get(n, p), flags)) for n, p in packed.families]
         self.piece = re.compile(packed.piece, re.S)
 
-    def scores(self, text: str) -> list[tuple[str, float, float]]:
-        """(family, consistency, regularity) of each candidate on one string."""
+    def scores(self, text: str) -> list[tuple[str, float, float, float]]:
+        """(family, consistency, whole, typed) of each candidate on one string."""
         mask, out = protect(text), []
         for k, (name, pattern, evidence) in enumerate(self.families):
-            found = pieces(text, mask, pattern)
+            divides = bool(evidence.search(mask)) and bool(pattern.search(mask))
             masked = [p for p in pieces(mask, mask, pattern) if p.strip()]
-            regular = sum(
-                not any(stronger.search(p) for _, _, stronger in self.families[:k]) and bool(self.piece.fullmatch(p.replace("\0", "x")))
-                for p in masked
-            )
-            divides = len(found) > 1 and bool(evidence.search(mask))
-            out.append((name, float(divides), regular / len(masked) if masked else 0.0))
+            whole = sum(not any(stronger.search(p) for _, _, stronger in self.families[:k]) for p in masked)
+            typed = sum(bool(self.piece.fullmatch(p.replace("\0", "x"))) for p in masked)
+            n = max(1, len(masked))
+            out.append((name, float(divides), whole / n, typed / n))
         return out
 
     def choose(self, text: str) -> str:
-        """The family with the best score on this string; the stronger one at a tie."""
-        best = max(enumerate(self.scores(text)), key=lambda x: (x[1][2] == 1.0, x[1][1], x[1][2], -x[0]))
+        """The family with the best score on this string: no stronger delimiter left in a piece, then one that divides,
+        then pieces of the field's type; the stronger one at a tie."""
+        best = max(enumerate(self.scores(text)), key=lambda x: (x[1][2] == 1.0, x[1][1], x[1][3], -x[0]))
         return best[1][0]
 
     def split(self, text: str | None, family: str | None = None) -> list[str]:
@@ -138,7 +139,7 @@ class Splitter:
                 text = text[1:-1]
             pattern = next(p for n, p, _ in self.families if n == (family or self.pick(text)))
             values = [clean(p) for p in pieces(text, protect(text), pattern)]
-        return [v for v in values if v]
+        return [v for v in values if not BARE.fullmatch(v)]
 
     def pick(self, text: str) -> str:
         return self.families[0][0] if len(self.families) == 1 else self.choose(text)
@@ -151,25 +152,24 @@ def infer_delimiters(df: DataFrame, packed: Packed, source: str) -> DataFrame:
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         splitter = Splitter(packed)
         for batch in batches:
-            sums: dict[tuple, list[float]] = {}
+            sums: dict[tuple, list] = {}
             for src, text in zip(batch["source"], batch["text"]):
                 if text is None or not text.strip() or bracketed(text.strip()) is not None:
                     continue
-                for name, consistent, regular in splitter.scores(text.strip()):
-                    at = sums.setdefault((src, name), [0.0, 0.0, 0.0])
-                    at[0] += consistent
-                    at[1] += regular
-                    at[2] += 1
-            yield pd.DataFrame([(s, n, *v) for (s, n), v in sums.items()], columns=["source", "family", "consistency", "regularity", "n"])
+                for name, divides, whole, typed in splitter.scores(text.strip()):
+                    at = sums.setdefault((src, name), [0.0, 0])
+                    at[0] += divides + 2 * whole + typed
+                    at[1] += 1
+            yield pd.DataFrame([(s, n, *v) for (s, n), v in sums.items()], columns=["source", "family", "score", "n"])
 
     rows = df.select(F.col(source).cast("string").alias("source"), F.col(packed.column).alias("text"))
     total = (
-        rows.mapInPandas(score, "source string, family string, consistency double, regularity double, n double")
+        rows.mapInPandas(score, "source string, family string, score double, n long")
         .groupBy("source", "family")
-        .agg(F.sum("consistency").alias("c"), F.sum("regularity").alias("r"), F.sum("n").alias("n"))
+        .agg((F.sum("score") / F.sum("n")).alias("score"))
     )
     rank = F.array_position(F.array(*[F.lit(x) for x in families]), F.col("family"))
-    best = Window.partitionBy("source").orderBy(((F.col("c") + F.col("r")) / F.col("n")).desc(), rank)
+    best = Window.partitionBy("source").orderBy(F.col("score").desc(), rank)
     return total.withColumn("rank", F.row_number().over(best)).where("rank = 1").select("source", "family")
 
 

@@ -27,13 +27,13 @@ def json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
 
 def tolerant_json_lines(spark: SparkSession, path: str, schema: str, folder: bool = False, pattern: str = "wiki_*") -> tuple[DataFrame, DataFrame]:
     """(good rows, broken lines). With ``folder`` every file below that fits ``pattern`` is read."""
-    reader = spark.read.schema(f"{schema}, {BAD} string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD)
+    reader = spark.read
     if folder:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-    rows = reader.json(path)
-    names = [c for c in rows.columns if c != BAD]
-    kept = rows.select(*names, BAD)
-    return kept.where(F.col(BAD).isNull() & F.coalesce(*[F.col(c).isNotNull() for c in names[:1]])).select(*names), kept.where(F.col(BAD).isNotNull()).select(F.col(BAD).alias("line"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
+    parsed = reader.text(path).where(F.trim("value") != "").select("value", F.from_json("value", f"{schema}, {BAD} string", options).alias("j"))
+    broken = F.col("j").isNull() | F.col(f"j.{BAD}").isNotNull()
+    return parsed.where(~broken).select("j.*").drop(BAD), parsed.where(broken).select(F.col("value").alias("line"))
 
 
 def csv_table(spark: SparkSession, path: str, schema: str | None = None, null: str = "\\N") -> DataFrame:
