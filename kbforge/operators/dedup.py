@@ -131,6 +131,11 @@ def mark(table: DataFrame, followers: DataFrame, key: str = "id") -> DataFrame:
     return table.drop("similarity", "similar_to").join(marks, key, "left")
 
 
+def unmark(table: DataFrame) -> DataFrame:
+    """``table`` with all marks taken off."""
+    return table.withColumns({"similarity": F.lit(None).cast("double"), "similar_to": F.lit(None).cast("long")})
+
+
 def merged_record(source: str) -> dict[str, Column]:
     """The columns of a target row (t) merged with a source row (s): the larger picture gives address and sizes (the
     target at a tie), captions are the target's where it has one, sources are united, times span both."""

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from kbforge.staging import Stage
+
 MOST_BYTES = 1_000_000_000
 
 
@@ -66,7 +68,7 @@ def pack_shards(df: DataFrame, key: str, columns: list[str], most: int = MOST_BY
 
 def write_shards(df: DataFrame, key: str, columns: list[str], path: str, most: int = MOST_BYTES) -> DataFrame:
     """CSV shards under ``path``/shard=<name>; returns the manifest."""
-    packed = pack_shards(df, key, columns, most)
+    packed = Stage(pack_shards(df, key, columns, most), "shards").df  # written once: file and manifest must agree
     packed.select("shard", F.regexp_replace("line", "\r\n$", "").alias("value")).write.partitionBy("shard").option("lineSep", "\r\n").text(path)
     return manifest(packed, key)
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from kbforge.functions import scalars
+from kbforge.staging import Stage
 
 
 def insert_ignore(existing: DataFrame, batch: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
@@ -48,7 +49,8 @@ def next_ids(existing: DataFrame, batch: DataFrame, key: str, order: list[str])
     sees more than its own rows.
     """
     start = existing.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
-    ranged = batch.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).withColumn("p_", F.spark_partition_id())
+    ranged = batch.repartitionByRange(*[F.col(c) for c in order]).withColumn("p_", F.spark_partition_id())
+    ranged = Stage(ranged, "ranged").df  # the bounds are sampled anew by each job, so the partitions are written down first
     counts = {r["p_"]: r["n"] for r in ranged.groupBy("p_").agg(F.count(F.lit(1)).alias("n")).collect()}
     before, total = [], 0
     for p in range(max(counts, default=-1) + 1):
