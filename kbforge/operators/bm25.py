@@ -7,6 +7,7 @@ the score of a row is the sum over fields and terms. Ties go to the smaller id.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -33,29 +34,27 @@ def scores(corpus: DataFrame, key: str, fields: list[str], queries: list[str], k
     terms = sorted({t for q in queries for t in query_terms(q)})
     if not terms:
         return corpus.sparkSession.createDataFrame([], f"query long, {key} {corpus.schema[key].dataType.simpleString()}, score double")
-    # Each text is split once and thinned to the queried terms once; what follows looks at those few words only.
-    flat = lambda f: F.regexp_replace(F.lower(F.coalesce(F.col(f), F.lit(""))), "^[^a-z0-9]+|[^a-z0-9]+$", "")
-    held = once(corpus, [key], {f"w_{i}": F.split(flat(f), "[^a-z0-9]+") for i, f in enumerate(fields)})
-    length = lambda i: F.when(F.get(f"w_{i}", F.lit(0)) == "", 0).otherwise(F.size(f"w_{i}"))
-    thin = once(held, [key], {f"n_{i}": length(i) for i in range(len(fields))} | {f"t_{i}": F.filter(f"w_{i}", lambda x: x.isin(terms)) for i in range(len(fields))})
-    times = lambda i, term: F.size(F.filter(f"t_{i}", lambda x: x == term))
-    sized = once(thin, [key, *[f"n_{i}" for i in range(len(fields))]], {f"f_{i}": F.array(*[times(i, term) for term in terms]) for i in range(len(fields))})
+    # Occurrences are counted by patterns over the lower-cased text, within generated code and without arrays of words.
+    held = once(corpus, [key], {f"x_{i}": F.lower(F.coalesce(F.col(f), F.lit(""))) for i, f in enumerate(fields)})
+    times = lambda i, pattern: F.regexp_count(f"x_{i}", F.lit(pattern))
+    word = lambda t: f"(?<![a-z0-9]){t}(?![a-z0-9])"
+    sized = once(held, [key], {f"n_{i}": times(i, "[a-z0-9]+") for i in range(len(fields))} | {f"f_{i}": F.array(*[times(i, word(t)) for t in terms]) for i in range(len(fields))})
     stats = sized.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.avg(f"n_{i}").alias(f"avg_{i}") for i in range(len(fields))],
         *[F.sum((F.get(f"f_{i}", F.lit(j)) > 0).cast("long")).alias(f"df_{i}_{j}") for i in range(len(fields)) for j in range(len(terms))],
-    )  # one row, whatever the corpus
-    joined = sized.where(F.exists(F.concat(*[F.col(f"f_{i}") for i in range(len(fields))]), lambda x: x > 0)).crossJoin(F.broadcast(stats))
+    ).first()  # one row, whatever the corpus
+    found = sized.where(F.exists(F.concat(*[F.col(f"f_{i}") for i in range(len(fields))]), lambda x: x > 0))
 
     def part(i: int, j: int) -> Column:
-        tf, df = F.get(f"f_{i}", F.lit(j)), F.col(f"df_{i}_{j}")
-        idf = F.log(1 + (F.col("rows") - df + 0.5) / (df + 0.5))
-        return F.when(tf > 0, idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col(f"n_{i}") / F.col(f"avg_{i}")))).otherwise(F.lit(0.0))
+        tf, df, mean = F.get(f"f_{i}", F.lit(j)), stats[f"df_{i}_{j}"] or 0, stats[f"avg_{i}"] or 1.0
+        idf = math.log(1 + (stats["rows"] - df + 0.5) / (df + 0.5))
+        return F.when(tf > 0, F.lit(idf) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col(f"n_{i}") / mean))).otherwise(F.lit(0.0))
 
     place = {t: j for j, t in enumerate(terms)}
     total = [sum((part(i, place[t]) for i in range(len(fields)) for t in query_terms(q)), F.lit(0.0)) for q in queries]
     each = F.explode(F.array(*[F.struct(F.lit(n).cast("long").alias("query"), F.round(s, DIGITS).alias("score")) for n, s in enumerate(total)])).alias("x")
-    return joined.select(key, each).select("x.query", key, "x.score").where("score > 0")
+    return found.select(key, each).select("x.query", key, "x.score").where("score > 0")
 
 
 def top_k(corpus: DataFrame, key: str, fields: list[str], queries: list[str], k: int) -> DataFrame:
