@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -36,3 +42,20 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give this package to the session's Python workers, once per application: they need not find it themselves."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package, folder = Path(__file__).parent, tempfile.mkdtemp(prefix="kbforge-code-")
+        atexit.register(shutil.rmtree, folder, True)
+        with zipfile.ZipFile(f"{folder}/kbforge.zip", "w") as out:
+            for path in sorted(package.rglob("*.py")):
+                out.write(path, str(path.relative_to(package.parent)))
+        context.addPyFile(f"{folder}/kbforge.zip")
+        _SHIPPED.add(context.applicationId)
+    return spark
