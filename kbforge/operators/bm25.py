@@ -1,6 +1,6 @@
 """BM25 over one or more text fields.
 
-One pass over the texts gives each row the frequencies of the queried terms and its length; the corpus statistics are
+One pass over the texts writes down each row's length and frequencies of the queried terms; the corpus statistics are
 one small row. No postings are shuffled: rows without any term leave at once. Terms of a query are a bag joined by OR;
 the score of a row is the sum over fields and terms. Ties go to the smaller id. Null fields count as empty.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kbforge.staging import once
+from kbforge.staging import Stage, once
 
 K1, B = 1.2, 0.75
 DIGITS = 6
@@ -37,8 +37,9 @@ def scores(corpus: DataFrame, key: str, fields: list[str], queries: list[str], k
     # Occurrences are counted by patterns over the lower-cased text, within generated code and without arrays of words.
     held = once(corpus, [key], {f"x_{i}": F.lower(F.coalesce(F.col(f), F.lit(""))) for i, f in enumerate(fields)})
     times = lambda i, pattern: F.regexp_count(f"x_{i}", F.lit(pattern))
-    word = lambda t: f"(?<![a-z0-9]){t}(?![a-z0-9])"
+    word = lambda t: f"{t}(?![a-z0-9])(?<![a-z0-9]{t})"  # the word first, so that texts are skimmed for it
     sized = once(held, [key], {f"n_{i}": times(i, "[a-z0-9]+") for i in range(len(fields))} | {f"f_{i}": F.array(*[times(i, word(t)) for t in terms]) for i in range(len(fields))})
+    sized = Stage(sized, "terms").df  # numbers only: the texts are read once, for statistics and scores alike
     stats = sized.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.avg(f"n_{i}").alias(f"avg_{i}") for i in range(len(fields))],
