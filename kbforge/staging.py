@@ -54,3 +54,9 @@ def once(df: DataFrame, kept: list[str], made: dict[str, Column]) -> DataFrame:
     """``kept`` columns and ``made`` ones, each of these computed once per row. A plain projection would be merged into
     the one above it, and an expression that is used there several times would be computed as often."""
     return df.select(*kept, F.explode(F.array(F.struct(*[c.alias(n) for n, c in made.items()]))).alias("once_")).select(*kept, *[F.col(f"once_.{n}").alias(n) for n in made])
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Delete all tables that this application has written to the shared folder; results that still read them are lost."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/kbforge/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
