@@ -36,30 +36,32 @@ def _minimum(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count(F.lit(1)).alias("n"))
 
 
-def _with_minimum(pairs: DataFrame, total: int) -> DataFrame:
-    """``pairs`` (u, v) with the minimum of u. Hot nodes by a broadcast of bounded size, the rest by shuffle."""
+def _with_minimum(pairs: DataFrame, total: int, scratch: list[Stage]) -> DataFrame:
+    """``pairs`` (u, v) with the minimum of u. Hot nodes by a broadcast of bounded size, the rest by shuffle. Stages that
+    the result reads are added to ``scratch``."""
     minima = _minimum(pairs)
     least = max(10_000, total // HOT_SHARE)
     if total <= least:
         return pairs.join(minima.select("u", "m"), "u")
     staged = Stage(minima, "minima")
+    scratch.append(staged)
     hot = F.broadcast(staged.df.where(F.col("n") >= least).select("u", "m"))
     cold = staged.df.where(F.col("n") < least).select("u", "m")
     warm = pairs.join(hot, "u", "left_anti").join(cold, "u")
     return pairs.join(hot, "u").unionByName(warm)
 
 
-def _large_star(edges: DataFrame, total: int) -> DataFrame:
+def _large_star(edges: DataFrame, total: int, scratch: list[Stage]) -> DataFrame:
     """Each node links its larger neighbours to the smallest of all its neighbours and itself."""
     both = edges.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("p")).select("p.u", "p.v")
-    found = _with_minimum(both, 2 * total).where(F.col("v") > F.col("u"))
+    found = _with_minimum(both, 2 * total, scratch).where(F.col("v") > F.col("u"))
     return found.select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
-def _small_star(edges: DataFrame, total: int) -> DataFrame:
+def _small_star(edges: DataFrame, total: int, scratch: list[Stage]) -> DataFrame:
     """Each node links its smaller neighbours and itself to the smallest of them. Edges run from larger a to smaller b."""
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    found = _with_minimum(down, total)
+    found = _with_minimum(down, total, scratch)
     linked = found.select(F.explode(F.array(F.col("v"), F.col("u"))).alias("a"), F.col("m").alias("b"))
     return linked.where("a <> b").distinct()
 
@@ -78,11 +80,12 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         if before[0] == 0:
             break
-        star = Stage(_large_star(stage.df, before[0]), "large")
-        step = Stage(_small_star(star.df, star.df.count()), "small")
+        scratch: list[Stage] = []
+        star = Stage(_large_star(stage.df, before[0], scratch), "large")
+        step = Stage(_small_star(star.df, star.df.count(), scratch), "small")
         after = _digest(step.df)
-        star.drop()
-        stage.drop()
+        for done in (*scratch, star, stage):
+            done.drop()
         stage = step
         if after == before:
             break
