@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kbforge.functions import scalars
 from kbforge.operators import search
@@ -125,6 +126,142 @@ def greedy_leaders(pairs: DataFrame, most_rounds: int = 200) -> DataFrame:
     return led.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("similar_to"), F.min_by("cosine", "a").alias("cosine"))
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """(band, code, id, vec): each row in each of its buckets."""
+    return rows.select("id", "vec", F.posexplode("codes").alias("band", "code"))
+
+
+#: Rows that one call of a Python function is given: many small buckets together, or one cut of a hot bucket.
+ROWS_A_CALL = 20_000
+
+
+def _by_bucket(rows: DataFrame, keys: list[str], work, schema: str, total: int) -> DataFrame:
+    """``work`` applied to each group of ``keys``, many small groups in one call. ``work`` gets a frame and returns
+    arrays in the order of ``schema``; ``total``: about how many rows there are."""
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(keys, ignore_index=True)
+        codes = pdf[keys].to_numpy()
+        start = np.append(np.flatnonzero(np.append(True, (codes[1:] != codes[:-1]).any(1))), len(pdf))
+        units, ids = _units(pdf), pdf["id"].to_numpy()
+        leads = pdf["leads"].to_numpy(dtype=bool) if "leads" in pdf else None
+        made = [work(ids[a:b], units[a:b], None if leads is None else leads[a:b]) for a, b in zip(start, start[1:])]
+        made = [m for m in made if len(m[0])]
+        return pd.DataFrame({n: np.concatenate(x) for n, x in zip(names, zip(*made))} if made else {n: [] for n in names})
+
+    calls = max(1, -(-total // ROWS_A_CALL))
+    return rows.withColumn("call_", F.pmod(F.xxhash64(*keys), F.lit(calls))).groupBy("call_").applyInPandas(run, schema)
+
+
+def _units(pdf: pd.DataFrame) -> np.ndarray:
+    v = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+def _nearest_leader(leaders: DataFrame, others: DataFrame, least_cosine: float, part: int, total: int) -> DataFrame:
+    """(id, leader, cosine): for each of ``others`` (id, vec, codes) its smallest leader before it, found in any bucket.
+
+    In a bucket both sides are cut into parts by a hash; every part of the one meets every part of the other, and each
+    meeting gives at most one row per row of ``others``, so a hot bucket is spread and its pairs are never written.
+    """
+    buckets = ["band", "code"]
+    led, rest = _spread(leaders), _spread(others)
+    sizes = led.groupBy(*buckets).agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("nl")).join(rest.groupBy(*buckets).agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("nr")), buckets)
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = led.join(sizes, buckets).select(*buckets, own("nl").alias("i"), every("nr").alias("j"), "id", "vec", F.lit(True).alias("leads"))
+    right = rest.join(sizes, buckets).select(*buckets, every("nl").alias("i"), own("nr").alias("j"), "id", "vec", F.lit(False).alias("leads"))
+
+    def meet(ids: np.ndarray, v: np.ndarray, leads: np.ndarray) -> tuple:
+        order = np.flatnonzero(leads)
+        order = order[np.argsort(ids[order], kind="stable")]
+        other, out = np.flatnonzero(~leads), [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        for s in range(0, len(other) if len(order) else 0, 1024):
+            rows = other[s : s + 1024]
+            c = v[rows] @ v[order].T
+            near = (c >= least_cosine) & (ids[order][None, :] < ids[rows][:, None])
+            first = near.argmax(1)  # leaders are in order, so the first is the smallest
+            hit = near[np.arange(len(rows)), first]
+            out.append((ids[rows[hit]], ids[order[first[hit]]], c[np.arange(len(rows)), first][hit]))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    found = _by_bucket(left.unionByName(right), [*buckets, "i", "j"], meet, "id long, leader long, cosine double", total)
+    return found.groupBy("id").agg(F.min("leader").alias("leader"), F.min_by("cosine", "leader").alias("cosine"))
+
+
+def greedy_followers(df: DataFrame, key: str, vector: str, dim: int, least_cosine: float, bands: int = BANDS, bits: int = BAND_BITS, head: int = CELL, most_rounds: int = 500) -> DataFrame:
+    """(id, similar_to, cosine) of every follower under the sequential leader rule, without a graph of pairs.
+
+    In each round the ``head`` smallest open ids of every bucket are compared among themselves. A row that is in the
+    head of all its buckets and has no smaller open row near it leads; rows near a leader and after it are closed.
+    The smallest open id always leads, so every round gets on. At the end each follower is given its smallest leader.
+    Exact copies are one class, since they share their fate. Pairs are never written, only one row per row and bucket.
+    """
+    rows = df.where(F.col(key).isNotNull() & search.usable(F.col(vector), dim)).select(F.col(key).alias("id"), F.col(vector).alias("vec"))
+    classes = rows.groupBy("vec").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
+    copies = rows.join(classes.where("n > 1").select("vec", "rep"), "vec").where("id <> rep").select("id", "rep")
+    signs = _signs(dim, bands, bits)
+
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        weights = 1 << np.arange(bits)
+        for batch in batches:
+            code = ((np.stack(batch["vec"].to_numpy()).astype(np.float64) @ signs).reshape(len(batch), bands, bits) > 0) @ weights
+            yield pd.DataFrame({"id": batch["id"], "vec": batch["vec"], "codes": list(code.astype(np.int64))})
+
+    signed = Stage(classes.select(F.col("rep").alias("id"), "vec").mapInPandas(sign, "id long, vec array<float>, codes array<long>"), "signed").df
+    copied = Stage(copies, "copies").df
+
+    def neighbours(ids: np.ndarray, v: np.ndarray, _) -> tuple:
+        order = np.argsort(ids, kind="stable")
+        before, after = np.zeros(len(ids), dtype=bool), np.zeros(len(ids), dtype=bool)
+        for s in range(0, len(ids), 1024):
+            rows = order[s : s + 1024]
+            c = v[rows] @ v[order].T >= least_cosine
+            places = np.arange(s, s + len(rows))[:, None]
+            before[rows] = (c & (np.arange(len(ids))[None, :] < places)).any(1)
+            after[rows] = (c & (np.arange(len(ids))[None, :] > places)).any(1)
+        return ids, before, after
+
+    open_, leaders, closed = Stage(signed, "open"), [], []
+    order = Window.partitionBy("band", "code").orderBy("id")
+    for _ in range(most_rounds):
+        rows_left = open_.df.count()
+        if rows_left == 0:
+            break
+        spread = _spread(open_.df)
+        shared = spread.groupBy("band", "code").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        edge = spread.select("band", "code", "id").withColumn("r", F.row_number().over(order)).where(F.col("r") <= head).groupBy("band", "code").agg(F.max("id").alias("last"))
+        held = spread.join(shared.join(edge, ["band", "code"]), ["band", "code"])
+        heads = held.where(F.col("id") <= F.col("last")).select("band", "code", "id", "vec")
+        tested = _by_bucket(heads, ["band", "code"], neighbours, "id long, before boolean, after boolean", rows_left * bands)
+        verdict = tested.groupBy("id").agg(F.max("before").alias("before"), F.max("after").alias("after"), F.count(F.lit(1)).alias("heads"))
+        needed = held.groupBy("id").agg(F.count(F.lit(1)).alias("needed"), F.max(F.col("n") > head).alias("cut"))
+        state = Stage(needed.join(verdict, "id", "left").select("id", F.coalesce("before", F.lit(False)).alias("before"), (F.coalesce("after", F.lit(False)) | F.col("cut")).alias("after"), (F.coalesce("heads", F.lit(0)) < F.col("needed")).alias("unknown")), "state")
+        waiting = Stage(open_.df.join(state.df.where("before or unknown").select("id"), "id"), "waiting")
+        if not leaders:  # while all rows are open, one without any neighbour leads nobody and leaves
+            leading = open_.df.join(state.df.where("not before and not unknown and after").select("id"), "id")
+        else:  # later on it may yet be the smallest leader of a row that is closed already
+            leading = open_.df.join(waiting.df.select("id"), "id", "left_anti")
+        led = Stage(leading, "leaders")
+        leaders.append(led)
+        near = _nearest_leader(led.df, waiting.df, least_cosine, head, rows_left * bands).select("id")
+        nxt = Stage(waiting.df.join(near, "id", "left_anti"), "open")
+        followers = Stage(waiting.df.join(near, "id"), "closed")
+        closed.append(followers)
+        for done in (open_, waiting, state):
+            done.drop()
+        open_ = nxt
+    if not leaders:
+        return signed.select("id", F.col("id").alias("similar_to"), F.lit(1.0).alias("cosine")).limit(0)
+    all_led, followers = leaders[0].df, closed[0].df
+    for more, gone in zip(leaders[1:], closed[1:]):
+        all_led, followers = all_led.unionByName(more.df), followers.unionByName(gone.df)
+    final = Stage(_nearest_leader(all_led, followers, least_cosine, head, followers.count() * bands).select("id", F.col("leader").alias("similar_to"), "cosine"), "followers").df
+    joined = copied.join(final.withColumnRenamed("id", "rep"), "rep", "left")
+    return final.unionByName(joined.select("id", F.coalesce("similar_to", "rep").alias("similar_to"), F.coalesce("cosine", F.lit(1.0)).alias("cosine")))
+
+
 def mark(table: DataFrame, followers: DataFrame, key: str = "id") -> DataFrame:
     """``table`` with ``similarity`` ((1 + cosine) / 2) and ``similar_to`` (null: unmarked, since an id may be 0)."""
     marks = followers.select(F.col("id").alias(key), F.round((1 + F.col("cosine")) / 2, 6).alias("similarity"), "similar_to")

@@ -140,8 +140,8 @@ def vec_threshold_pairs(t: Tables) -> DataFrame:
 @query("dedup_greedy_leader")
 def dedup_greedy_leader(t: Tables) -> DataFrame:
     """At cosine 0.98 a pair shares a signature of 8 signs with probability 0.6, so 24 of them miss 1e-9 of the pairs."""
-    pairs = dedup.near_pairs(t.ts_wikipedia_en_embed, "id", "vector", 64, 0.98, bits=8)
-    return dedup.greedy_leaders(pairs).select("id", "similar_to", F.round((1 + F.col("cosine")) / 2, 6).alias("similarity"))
+    followers = dedup.greedy_followers(t.ts_wikipedia_en_embed, "id", "vector", 64, 0.98, bits=8)
+    return followers.select("id", "similar_to", F.round((1 + F.col("cosine")) / 2, 6).alias("similarity"))
 
 
 @query("image_decay_search", f"""WITH c AS ({IMAGES}), h AS (SELECT q.id AS query, c.id, round(list_distance(c.v, q.v), 6) AS d, row_number() OVER (PARTITION BY q.id ORDER BY round(list_distance(c.v, q.v), 6), c.id) AS rank FROM c, c AS q WHERE q.id % {QUERY_STEP} = 0),

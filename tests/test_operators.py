@@ -102,6 +102,33 @@ def test_near_pairs(spark):
     assert of(found) == of(want)
 
 
+@pytest.mark.parametrize("head", [3, 2048])
+def test_greedy_followers(spark, head):
+    """A dense spot holds a third of the rows; a small head makes many rounds and cut buckets."""
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((60, 64))
+    dense = rng.standard_normal(64) + 0.03 * rng.standard_normal((50, 64))
+    v = np.concatenate([base, base[:20] + 0.04 * rng.standard_normal((20, 64)), dense, base[:6], dense[:4]]).astype(np.float32)
+    v = v[rng.permutation(len(v))]
+    w = v.astype(float) / np.linalg.norm(v, axis=1, keepdims=True)
+    want = sequential_leaders(len(v), {(i, j) for i in range(len(v)) for j in range(i + 1, len(v)) if w[i] @ w[j] >= 0.998})
+    got = dedup.greedy_followers(frame(spark, v), "id", "vector", 64, 0.998, bits=6, head=head).collect()
+    assert {r["id"]: r["similar_to"] for r in got} == want and len(got) == len(want)
+    assert dedup.greedy_followers(frame(spark, v).limit(0), "id", "vector", 64, 0.998).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_greedy_followers_on_chains(spark, seed):
+    """Points on an arc: long chains of near neighbours, so that leaders are settled over several rounds."""
+    rng = np.random.default_rng(seed)
+    angle = rng.uniform(0, 1.2, 120)
+    v = (np.stack([np.cos(angle), np.sin(angle)], axis=1) @ np.linalg.qr(rng.standard_normal((64, 2)))[0].T).astype(np.float32)
+    w = v.astype(float) / np.linalg.norm(v, axis=1, keepdims=True)
+    want = sequential_leaders(len(v), {(i, j) for i in range(len(v)) for j in range(i + 1, len(v)) if w[i] @ w[j] >= 0.998})
+    got = dedup.greedy_followers(frame(spark, v), "id", "vector", 64, 0.998, bits=4).collect()
+    assert {r["id"]: r["similar_to"] for r in got} == want
+
+
 def test_insert_ignore_and_update(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "id long, url string")
     new = spark.createDataFrame([(3, "b"), (5, "c"), (4, "c"), (6, None), (7, None)], "id long, url string")
