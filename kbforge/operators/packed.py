@@ -25,6 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from kbforge.staging import Stage, broadcast_if_small
+
+#: Sources up to which their families are broadcast; beyond it the join shuffles.
+MOST_SOURCES = 100_000
+
 QUOTED = re.compile(r'"(?:[^"]|"")*"')
 INNERMOST = re.compile(r"\([^()]*\)")
 SPACES = re.compile(r"\s+")
@@ -177,12 +182,12 @@ def split_packed(df: DataFrame, key: str, fields: tuple[Packed, ...], source: st
     """(key, field, pos, value): each value of each packed field on a row of its own, positions from 1.
 
     Without ``source`` it is one narrow pass and nothing is shuffled. With it, each source's family comes from
-    ``infer_delimiters`` and is joined back (sources are far fewer than rows, so AQE broadcasts or splits them).
+    ``infer_delimiters``, is written down and joined back, by broadcast where the sources are counted to be few.
     """
     if source is not None:
         parts = []
         for packed in fields:
-            chosen = infer_delimiters(df, packed, source)
+            chosen = broadcast_if_small(Stage(infer_delimiters(df, packed, source), "families").df, MOST_SOURCES)
             rows = df.where(F.col(key).isNotNull()).select(key, F.col(source).cast("string").alias("source"), F.col(packed.column).alias("text"))
             joined = rows.join(chosen, rows["source"].eqNullSafe(chosen["source"]), "left").select(key, "text", "family")
             parts.append(_explode(joined, key, packed))
