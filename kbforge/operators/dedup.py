@@ -305,6 +305,7 @@ def absorb(source: DataFrame, target: DataFrame, links: DataFrame, name: str) ->
 
 
 def map_union(a: Column, b: Column) -> Column:
-    """Union of two maps, the right one winning; the session sets mapKeyDedupPolicy to LAST_WIN."""
+    """Union of two maps, the right one winning, whatever the session says about repeated keys; null counts as empty."""
     empty = F.create_map().cast("map<string,string>")
-    return F.map_concat(F.coalesce(a, empty), F.coalesce(b, empty))
+    left, right = F.coalesce(a, empty), F.coalesce(b, empty)
+    return F.map_concat(F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k)), right)
