@@ -273,39 +273,78 @@ def unmark(table: DataFrame) -> DataFrame:
     return table.withColumns({"similarity": F.lit(None).cast("double"), "similar_to": F.lit(None).cast("long")})
 
 
-def merged_record(source: str) -> dict[str, Column]:
-    """The columns of a target row (t) merged with a source row (s): the larger picture gives address and sizes (the
-    target at a tie), captions are the target's where it has one, sources are united, times span both."""
+#: Columns that come with the picture of a record, its captions, its maps (of map type, or JSON objects as text).
+PICTURE = ("url", "origin_width", "origin_height", "origin_storage_id", "processed_storage_id", "processed_width", "processed_height", "aspect_ratio", "vector")
+CAPTIONS, MAPS, TIMES = ("caption", "caption_long"), ("exif", "meta"), ("created_at", "updated_at")
+
+
+def _area(width: Column, height: Column) -> Column:
+    return F.coalesce(width * height, F.lit(0))
+
+
+def _as_map(column: Column, kind: str) -> Column:
+    return F.from_json(column, "map<string,variant>") if kind == "string" else column
+
+
+def merged_record(source: str, kinds: dict[str, str]) -> dict[str, Column]:
+    """The columns of a target row (t) merged with what was folded of its source rows (s), of those in ``kinds`` (name
+    to type): the larger picture gives address, sizes, storage and vector (the target at a tie), captions are the
+    target's where it has one, maps are united with the target winning, sources are united, times span both."""
     s, t = (lambda c: F.col(f"s.{c}")), (lambda c: F.col(f"t.{c}"))
-    area = lambda x: F.coalesce(x("origin_width") * x("origin_height"), F.lit(0))
-    keep = area(t) >= area(s)
-    out = {c: F.when(keep, t(c)).otherwise(s(c)) for c in ("url", "origin_width", "origin_height", "processed_storage_id", "aspect_ratio")}
-    out |= {c: scalars.or_default(t(c), s(c)) for c in ("caption", "caption_long")}
+    keep = _area(t("origin_width"), t("origin_height")) >= _area(s("origin_width"), s("origin_height"))
+    out = {c: F.when(keep, t(c)).otherwise(s(c)) for c in PICTURE if c in kinds}
+    out |= {c: scalars.or_default(t(c), s(c)) for c in CAPTIONS if c in kinds}
+    for c in (c for c in MAPS if c in kinds):
+        both = map_union(s(c), _as_map(t(c), kinds[c]), "map<string,variant>" if kinds[c] == "string" else kinds[c])
+        # nothing to add, or a text that is no object: the target's stays
+        stays = s(c).isNull() | (t(c).isNotNull() & _as_map(t(c), kinds[c]).isNull() & (t(c) != "")) if kinds[c] == "string" else s(c).isNull()
+        out[c] = F.when(stays, t(c)).otherwise(F.to_json(both) if kinds[c] == "string" else both)
     out["source"] = F.sort_array(F.array_union(F.coalesce(t("source"), F.array().cast("array<string>")), scalars.expand_source(F.lit(source))))
-    out |= {"created_at": F.least(t("created_at"), s("created_at")), "updated_at": F.greatest(t("updated_at"), s("updated_at"))}
+    return out | {"created_at": F.least(t("created_at"), s("created_at")), "updated_at": F.greatest(t("updated_at"), s("updated_at"))}
+
+
+def _fold(linked: DataFrame, by: list[str], kinds: dict[str, str]) -> DataFrame:
+    """One row per ``by`` of its source rows, as merging them one by one in id order leaves it: the largest picture, the
+    first caption, the first value of each key of a map, the span of the times. Partial aggregates, so that a hot
+    target is spread."""
+    has = lambda names: [c for c in names if c in kinds]
+    rank = F.struct(_area(F.col("origin_width"), F.col("origin_height")).alias("area"), (-F.col("id")).alias("i"))
+    first = lambda c: F.coalesce(F.min_by(c, F.when(F.col(c) != "", F.col("id"))), F.max_by(c, "id")).alias(c)
+    out = linked.groupBy(*by).agg(F.max_by(F.struct(*has(PICTURE)), rank).alias("picture"), *[first(c) for c in has(CAPTIONS)], F.min("created_at").alias("created_at"), F.max("updated_at").alias("updated_at"))
+    out = out.select(*by, "picture.*", *has(CAPTIONS), *TIMES)
+    for c in has(MAPS):
+        entries = linked.select(*by, "id", F.explode(_as_map(F.col(c), kinds[c])).alias("key", "value")).groupBy(*by, "key").agg(F.min_by("value", "id").alias("value"))
+        out = out.join(entries.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias(c)), by, "left")
     return out
 
 
+def _with_columns(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    return df.select("*", *[F.lit(None).cast(k).alias(c) for c, k in kinds.items() if c not in df.columns])
+
+
+def _merged(rows: DataFrame, folded: DataFrame, into: str, name: str, kinds: dict[str, str]) -> DataFrame:
+    """``rows`` with what was folded for them merged in; a row for which there is nothing stays as it is."""
+    columns, is_hit = merged_record(name, kinds), F.col(f"s.{into}").isNotNull()
+    rows = _with_columns(rows, kinds)
+    joined = rows.alias("t").join(folded.alias("s"), F.col("t.id") == F.col(f"s.{into}"), "left")
+    return joined.select(*[F.when(is_hit, columns[c]).otherwise(F.col(f"t.{c}")).alias(c) if c in columns else F.col(f"t.{c}") for c in rows.columns])
+
+
 def absorb(source: DataFrame, target: DataFrame, links: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """(updated target, rows to add) after absorbing the source: linked rows merge into their target row.
 
-    ``links``: (id, target_id). Of several source rows for one target the one with the largest picture merges
-    (smaller id at a tie), so that a hot target is one partial aggregate. Rows to add keep their source id; the store
-    gives them ids of its own.
+    ``links``: (id, target_id). All source rows of one target merge, folded field by field. Rows to add keep their
+    source id; the store gives them ids of its own.
     """
-    fields = list(merged_record(name))
-    linked = source.join(links, "id")
-    area = F.coalesce(F.col("origin_width") * F.col("origin_height"), F.lit(0))
-    best = linked.groupBy("target_id").agg(F.max_by(F.struct(*fields), F.struct(area, (-F.col("id")).alias("i"))).alias("x")).select("target_id", "x.*")
-    columns = merged_record(name)
-    merged = target.alias("t").join(best.alias("s"), F.col("t.id") == F.col("s.target_id"), "left")
-    is_hit = F.col("s.target_id").isNotNull()
-    updated = merged.select(F.col("t.id").alias("id"), *[F.when(is_hit, columns[c]).otherwise(F.col(f"t.{c}")).alias(c) for c in fields])
-    return updated, source.join(links, "id", "left_anti").select("id", *[c for c in fields if c != "source"]).withColumn("source", scalars.expand_source(F.lit(name)))
-
-
-def map_union(a: Column, b: Column) -> Column:
+    merged = {*PICTURE, *CAPTIONS, *MAPS, *TIMES}
+    kinds = {c: k for c, k in [*target.dtypes, *source.dtypes] if c in merged}
+    folded = _fold(_with_columns(source, kinds).join(links, "id"), ["target_id"], kinds)
+    fields = [c for c in merged_record(name, kinds) if c in source.columns and c != "source"]
+    return _merged(target, folded, "target_id", name, kinds), source.join(links, "id", "left_anti").select("id", *fields).withColumn("source", scalars.expand_source(F.lit(name)))
+
+
+def map_union(a: Column, b: Column, kind: str = "map<string,string>") -> Column:
     """Union of two maps, the right one winning, whatever the session says about repeated keys; null counts as empty."""
-    empty = F.create_map().cast("map<string,string>")
+    empty = F.create_map().cast(kind)
     left, right = F.coalesce(a, empty), F.coalesce(b, empty)
     return F.map_concat(F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k)), right)

@@ -1,3 +1,5 @@
+import datetime
+import json
 import math
 import random
 import re
@@ -129,6 +131,46 @@ def test_greedy_followers_on_chains(spark, seed):
     assert {r["id"]: r["similar_to"] for r in got} == want
 
 
+RECORD = "id long, url string, caption string, caption_long string, origin_width long, origin_height long, origin_storage_id string, exif string, meta map<string,string>, source array<string>, license string, vector array<float>, created_at timestamp, updated_at timestamp"
+
+
+def records(seed, ids, source):
+    rng, at = random.Random(seed), lambda n: datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=n)
+    text = lambda i, c: rng.choice([None, "", f"{c}{i}"])
+    keys = lambda i: {k: f"{k}{i}" for k in rng.sample("abcd", rng.randint(0, 3))}
+    return {i: dict(id=i, url=f"u{i}", caption=text(i, "c"), caption_long=text(i, "l"), origin_width=rng.choice([None, 1, 2, 9]), origin_height=rng.choice([1, 3]), origin_storage_id=text(i, "o"),
+        exif=rng.choice([None, json.dumps(keys(i) | {"n": i})]), meta=rng.choice([None, keys(i)]), source=source, license=text(i, "x"), vector=[float(i)], created_at=at(rng.randint(0, 99)), updated_at=at(rng.randint(100, 199))) for i in ids}
+
+
+def merged_one(sc, tg, name):
+    """merge_items of the reference."""
+    area = lambda x: (x["origin_width"] or 0) * x["origin_height"]
+    out = dict(tg) if area(tg) >= area(sc) else tg | {c: sc[c] for c in dedup.PICTURE if c in sc}
+    out |= {c: tg[c] or sc[c] for c in dedup.CAPTIONS}
+    if sc["exif"]:
+        out["exif"] = json.dumps(json.loads(sc["exif"]) | json.loads(tg["exif"] or "{}"))
+    out["meta"] = (sc["meta"] or {}) | (tg["meta"] or {})
+    out["source"] = sorted({*tg["source"], name})
+    return out | {"created_at": min(tg["created_at"], sc["created_at"]), "updated_at": max(tg["updated_at"], sc["updated_at"])}
+
+
+def canon(found):
+    return {r["id"]: r | {"exif": json.loads(r["exif"] or "{}"), "meta": r["meta"] or {}} for r in found}
+
+
+def test_absorb_merges_every_linked_row(spark):
+    """Against the reference's loop, with a hot target."""
+    source, target = records(1, range(100, 160), ["s"]), records(2, range(1, 6), ["alpha"])
+    rng = random.Random(3)
+    links = {i: rng.choice([1, 1, 1, 2, 3]) for i in source if rng.random() < 0.8}
+    want = dict(target)
+    for i in sorted(links):
+        want[links[i]] = merged_one(source[i], want[links[i]], "s")
+    frames = [spark.createDataFrame([tuple(r.values()) for r in x.values()], RECORD) for x in (source, target)]
+    updated, _ = dedup.absorb(*frames, spark.createDataFrame([(i, t) for i, t in links.items()], "id long, target_id long"), "s")
+    assert canon(r.asDict() for r in updated.collect()) == canon(want.values())
+
+
 def test_insert_ignore_and_update(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "id long, url string")
     new = spark.createDataFrame([(3, "b"), (5, "c"), (4, "c"), (6, None), (7, None)], "id long, url string")
