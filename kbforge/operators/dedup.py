@@ -330,17 +330,43 @@ def _merged(rows: DataFrame, folded: DataFrame, into: str, name: str, kinds: dic
     return joined.select(*[F.when(is_hit, columns[c]).otherwise(F.col(f"t.{c}")).alias(c) if c in columns else F.col(f"t.{c}") for c in rows.columns])
 
 
-def absorb(source: DataFrame, target: DataFrame, links: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """(updated target, rows to add) after absorbing the source: linked rows merge into their target row.
+def placement(links: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id, into, fresh) of each source row that isn't inserted: the row it merges into, a target or (``fresh``) a source
+    row inserted before it.
 
-    ``links``: (id, target_id). All source rows of one target merge, folded field by field. Rows to add keep their
-    source id; the store gives them ids of its own.
+    The leader rule with the target rows as leaders that are there already: a row linked to a target never leads; of
+    the others one leads if no smaller row linked to it does. Each of the rest goes to the most similar of its targets
+    and smaller leaders (a target, then the smaller id, at a tie).
+    """
+    targets = links.groupBy("id", "target_id").agg(F.max("similarity").alias("similarity"))
+    linked = targets.select("id").distinct()
+    without = lambda df, ids, end: df.join(ids.withColumnRenamed("id", end), end, "left_anti")
+    edges = Stage(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity").groupBy("a", "b").agg(F.max("similarity").alias("similarity")), "edges").df
+    free = without(without(edges, linked, "a"), linked, "b").withColumnRenamed("similarity", "cosine")
+    followers = greedy_leaders(free).select("id")
+    fresh = without(edges, linked.unionByName(followers), "a").select(F.col("b").alias("id"), F.col("a").alias("into"), F.lit(True).alias("fresh"), "similarity")
+    every = fresh.unionByName(targets.select("id", F.col("target_id").alias("into"), F.lit(False).alias("fresh"), "similarity"))
+    order = F.struct("similarity", (~F.col("fresh")).alias("old"), (-F.col("into")).alias("i"))
+    return every.groupBy("id").agg(F.max_by(F.struct("into", "fresh"), order).alias("x")).select("id", "x.*")
+
+
+def absorb(source: DataFrame, target: DataFrame, links: DataFrame, pairs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(updated target, rows to add) after absorbing the source as if row by row in id order: a row merges into the
+    target row it is linked to, or into a row added before it, else it is added.
+
+    ``links``: (id, target_id, similarity), ``pairs``: (a, b, similarity) between source rows. All source rows of one
+    target merge, folded field by field. Rows to add have all columns of the source and keep their source id; the
+    store gives them ids of its own. Links are as given: a picture that a merge puts in place isn't matched anew.
     """
     merged = {*PICTURE, *CAPTIONS, *MAPS, *TIMES}
     kinds = {c: k for c, k in [*target.dtypes, *source.dtypes] if c in merged}
-    folded = _fold(_with_columns(source, kinds).join(links, "id"), ["target_id"], kinds)
-    fields = [c for c in merged_record(name, kinds) if c in source.columns and c != "source"]
-    return _merged(target, folded, "target_id", name, kinds), source.join(links, "id", "left_anti").select("id", *fields).withColumn("source", scalars.expand_source(F.lit(name)))
+    ids, there = source.select("id"), target.select(F.col("id").alias("target_id"))
+    end = lambda c: ids.withColumnRenamed("id", c)
+    placed = Stage(placement(links.join(there, "target_id", "left_semi").join(ids, "id", "left_semi"), pairs.join(end("a"), "a", "left_semi").join(end("b"), "b", "left_semi")), "placed").df
+    folded = _fold(_with_columns(source, kinds).join(placed, "id"), ["fresh", "into"], kinds)
+    added = source.withColumn("source", scalars.expand_source(F.lit(name))).join(placed, "id", "left_anti")
+    updated = _merged(target, folded.where("not fresh"), "into", name, kinds)
+    return updated, _merged(added, folded.where("fresh"), "into", name, kinds)
 
 
 def map_union(a: Column, b: Column, kind: str = "map<string,string>") -> Column:

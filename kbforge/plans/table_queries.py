@@ -157,6 +157,14 @@ def passage_unnest(t: Tables) -> DataFrame:
     return flat.select("query_id", "query_type", "passage_id", "passage_text", "is_selected", "url", F.array_join("answers", "|").alias("answers"))
 
 
+def _absorb(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """is_pd12m absorbed into ii_alpha by the links of image_match, to targets and between the source's own rows."""
+    near = t.image_match.where(~F.isnan("similarity") & F.col("similarity").between(0.999, 1.0))
+    links = near.where(F.col("similar_to").between(1, 40)).select("id", F.col("similar_to").alias("target_id"), "similarity")
+    pairs = near.where("id <> similar_to").select(F.col("id").alias("a"), F.col("similar_to").alias("b"), "similarity")
+    return dedup.absorb(t.is_pd12m, t.ii_alpha, links, pairs, "pd12m")
+
+
 @query("absorb_merge", """WITH links AS (SELECT m.id, min(m.similar_to) AS target_id FROM image_match m WHERE m.similar_to BETWEEN 1 AND 40 AND NOT isnan(m.similarity) AND m.similarity BETWEEN 0.999 AND 1 AND m.id NOT IN (SELECT id FROM ii_alpha) GROUP BY m.id),
   s AS (SELECT i.*, l.target_id, row_number() OVER (PARTITION BY l.target_id ORDER BY coalesce(i.origin_width * i.origin_height, 0) DESC, i.id) AS r FROM is_pd12m i JOIN links l ON i.id = l.id)
   SELECT t.id, CASE WHEN s.id IS NOT NULL AND coalesce(t.origin_width * t.origin_height, 0) < coalesce(s.origin_width * s.origin_height, 0) THEN s.url ELSE t.url END AS url,
@@ -165,17 +173,13 @@ def passage_unnest(t: Tables) -> DataFrame:
     array_to_string(CASE WHEN s.id IS NULL THEN t.source ELSE list_sort(list_distinct(list_concat(t.source, ['pd12m']))) END, '|') AS source,
     CASE WHEN s.id IS NULL THEN t.updated_at ELSE greatest(t.updated_at, s.updated_at) END AS updated_at FROM ii_alpha t LEFT JOIN s ON s.target_id = t.id AND s.r = 1""")
 def absorb_merge(t: Tables) -> DataFrame:
-    near = t.image_match.where(F.col("similar_to").between(1, 40) & ~F.isnan("similarity") & F.col("similarity").between(0.999, 1.0))
-    links = near.join(t.ii_alpha.select("id"), "id", "left_anti").groupBy("id").agg(F.min("similar_to").alias("target_id"))
-    updated, _ = dedup.absorb(t.is_pd12m, t.ii_alpha, links, "pd12m")
+    updated, _ = _absorb(t)
     return updated.select("id", "url", "origin_width", "caption", F.array_join("source", "|").alias("source"), "updated_at")
 
 
 @query("absorb_insert", """SELECT id, url FROM is_pd12m WHERE id NOT IN (SELECT m.id FROM image_match m WHERE m.similar_to BETWEEN 1 AND 40 AND NOT isnan(m.similarity) AND m.similarity BETWEEN 0.999 AND 1 AND m.id IS NOT NULL)""")
 def absorb_insert(t: Tables) -> DataFrame:
-    near = t.image_match.where(F.col("similar_to").between(1, 40) & ~F.isnan("similarity") & F.col("similarity").between(0.999, 1.0))
-    links = near.where("id is not null").groupBy("id").agg(F.min("similar_to").alias("target_id"))
-    return dedup.absorb(t.is_pd12m, t.ii_alpha, links, "pd12m")[1].select("id", "url")
+    return _absorb(t)[1].select("id", "url")
 
 
 @query("map_merge_last_wins", """SELECT id, 'license=' || coalesce(license, '') || '|origin=' || coalesce(caption, '') || '|store=' || coalesce(origin_source, '') AS merged FROM is_pd12m""")

@@ -167,10 +167,36 @@ def test_absorb_merges_every_linked_row(spark):
     for i in sorted(links):
         want[links[i]] = merged_one(source[i], want[links[i]], "s")
     frames = [spark.createDataFrame([tuple(r.values()) for r in x.values()], RECORD) for x in (source, target)]
-    updated, _ = dedup.absorb(*frames, spark.createDataFrame([(i, t) for i, t in links.items()], "id long, target_id long"), "s")
+    pairs = spark.createDataFrame([], "a long, b long, similarity double")
+    updated, _ = dedup.absorb(*frames, spark.createDataFrame([(i, t, 1.0) for i, t in links.items()], "id long, target_id long, similarity double"), pairs, "s")
     assert canon(r.asDict() for r in updated.collect()) == canon(want.values())
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_absorb_inserts_no_near_copies(spark, seed):
+    """The target grows row by row in the reference; rows near an inserted one merge into it."""
+    source, target = records(seed, range(100, 150), ["s"]), records(seed + 9, range(1, 6), ["alpha"])
+    rng = random.Random(seed)
+    score = lambda: rng.choice([0.999, 0.9995, 1.0])
+    links = {(i, rng.randint(1, 5)): score() for i in rng.sample(sorted(source), 15)} | {(i, rng.randint(1, 5)): score() for i in rng.sample(sorted(source), 5)}
+    pairs = {tuple(rng.sample(sorted(source), 2)): score() for _ in range(60)}
+    both = {}
+    for (a, b), s in pairs.items():
+        both[min(a, b), max(a, b)] = max(s, both.get((min(a, b), max(a, b)), 0))
+    grown = {("old", i): r for i, r in target.items()}
+    for i in sorted(source):
+        near = [(s, 1, -t, ("old", t)) for (a, t), s in links.items() if a == i] + [(s, 0, -a, ("new", a)) for (a, b), s in both.items() if b == i and ("new", a) in grown]
+        if near:
+            grown[max(near)[3]] = merged_one(source[i], grown[max(near)[3]], "s")
+        else:
+            grown["new", i] = source[i] | {"source": ["s"]}
+    frames = [spark.createDataFrame([tuple(r.values()) for r in x.values()], RECORD) for x in (source, target)]
+    given = [spark.createDataFrame([(*k, s) for k, s in x.items()], f"{names}, similarity double") for x, names in ((links, "id long, target_id long"), (pairs, "a long, b long"))]
+    for df, kind in zip(dedup.absorb(*frames, *given, "s"), ("old", "new")):
+        assert df.columns == frames[0].columns
+        assert canon(r.asDict() for r in df.collect()) == canon(r for (k, _), r in grown.items() if k == kind)
+
+
 def test_insert_ignore_and_update(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "id long, url string")
     new = spark.createDataFrame([(3, "b"), (5, "c"), (4, "c"), (6, None), (7, None)], "id long, url string")
