@@ -90,6 +90,11 @@ def queue_predicate(t: Tables) -> DataFrame:
     return counted.unionByName(chunks).unionByName(papers)
 
 
+def _near(t: Tables) -> DataFrame:
+    """The rows of image_match with a similarity of at least 0.999, percentages read as fractions."""
+    return t.image_match.withColumn("similarity", scalars.as_fraction(F.col("similarity"))).where(F.col("similarity").between(0.999, 1.0))
+
+
 _MATCHED = "(SELECT id, max(similar_to) AS similar_to FROM image_match WHERE NOT isnan(similarity) AND similarity >= 0.999 AND similarity <= 1 GROUP BY id)"
 
 
@@ -99,7 +104,7 @@ _MATCHED = "(SELECT id, max(similar_to) AS similar_to FROM image_match WHERE NOT
   SELECT fetched::BIGINT AS fetched, valid::BIGINT AS valid, reprocessed::BIGINT AS reprocessed, "unique"::BIGINT AS "unique", duplicated::BIGINT AS duplicated, round(valid / fetched * 100, 2) || '%' AS valid_ratio,
     round(reprocessed / valid * 100, 2) || '%' AS reprocessed_ratio, round("unique" / valid * 100, 2) || '%' AS unique_ratio, round(duplicated / valid * 100, 2) || '%' AS duplicated_ratio, round("unique" / fetched * 100, 2) || '%' AS overall_availability FROM c""")
 def dataset_report(t: Tables) -> DataFrame:
-    matched = t.image_match.where(~F.isnan("similarity") & F.col("similarity").between(0.999, 1.0)).groupBy("id").agg(F.max("similar_to").alias("similar_to"))
+    matched = _near(t).groupBy("id").agg(F.max("similar_to").alias("similar_to"))
     images = t.is_pd12m.join(matched, "id", "left").withColumn("similar_to", F.coalesce("similar_to", F.lit(0)))
     done = F.col("processed_storage_id") != ""
     return tables.dataset_report(images, done, F.col("processed_storage_id").rlike(r"^.*processed\.jpg$"), F.col("similar_to") == 0, F.col("similar_to") != 0)
@@ -159,7 +164,7 @@ def passage_unnest(t: Tables) -> DataFrame:
 
 def _absorb(t: Tables) -> tuple[DataFrame, DataFrame]:
     """is_pd12m absorbed into ii_alpha by the links of image_match, to targets and between the source's own rows."""
-    near = t.image_match.where(~F.isnan("similarity") & F.col("similarity").between(0.999, 1.0))
+    near = _near(t)
     links = near.where(F.col("similar_to").between(1, 40)).select("id", F.col("similar_to").alias("target_id"), "similarity")
     pairs = near.where("id <> similar_to").select(F.col("id").alias("a"), F.col("similar_to").alias("b"), "similarity")
     return dedup.absorb(t.is_pd12m, t.ii_alpha, links, pairs, "pd12m")
