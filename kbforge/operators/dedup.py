@@ -8,6 +8,7 @@ once one of them is. Each round is written to the shared folder; nothing is coll
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -100,18 +101,25 @@ def _blocked_pairs(rows: DataFrame, dim: int, least_cosine: float) -> DataFrame:
     return rows.sparkSession.createDataFrame([], "a long, b long, cosine double") if out is None else out
 
 
-def greedy_leaders(pairs: DataFrame, most_rounds: int = 200) -> DataFrame:
+def _check_rounds(done: int, most: int | None) -> None:
+    if most is not None and done >= most:
+        raise RuntimeError(f"leaders did not settle in {most} rounds")
+
+
+def greedy_leaders(pairs: DataFrame, most_rounds: int | None = None) -> DataFrame:
     """(id, similar_to, cosine) of every follower: its smallest leader among its smaller neighbours.
 
-    ``pairs``: (a, b, cosine), a < b. Rows without a pair are leaders of themselves and don't appear.
+    ``pairs``: (a, b, cosine), a < b. Rows without a pair are leaders of themselves and don't appear. The smallest open
+    id is settled in every round, so the rounds end; with ``most_rounds`` it is an error if rows are open after them.
     """
     edges = Stage(pairs.groupBy("a", "b").agg(F.max("cosine").alias("cosine")), "pairs").df
     nodes = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     smaller = edges.select("b").distinct()
     state = Stage(nodes.join(smaller, nodes["id"] == smaller["b"], "left").select("id", F.when(F.col("b").isNull(), True).alias("leads")), "state")
-    for _ in range(most_rounds):
+    for done in itertools.count():
         if state.df.where("leads is null").isEmpty():
             break
+        _check_rounds(done, most_rounds)
         known = edges.join(state.df.select(F.col("id").alias("a"), F.col("leads").alias("up")), "a")
         seen = known.groupBy("b").agg(F.max((F.col("up") == True).cast("int")).alias("some"), F.max(F.col("up").isNull().cast("int")).alias("open"))  # noqa: E712
         step = state.df.join(seen, state.df["id"] == seen["b"], "left").select(
@@ -190,12 +198,13 @@ def _nearest_leader(leaders: DataFrame, others: DataFrame, least_cosine: float,
     return found.groupBy("id").agg(F.min("leader").alias("leader"), F.min_by("cosine", "leader").alias("cosine"))
 
 
-def greedy_followers(df: DataFrame, key: str, vector: str, dim: int, least_cosine: float, bands: int = BANDS, bits: int = BAND_BITS, head: int = CELL, most_rounds: int = 500) -> DataFrame:
+def greedy_followers(df: DataFrame, key: str, vector: str, dim: int, least_cosine: float, bands: int = BANDS, bits: int = BAND_BITS, head: int = CELL, most_rounds: int | None = None) -> DataFrame:
     """(id, similar_to, cosine) of every follower under the sequential leader rule, without a graph of pairs.
 
     In each round the ``head`` smallest open ids of every bucket are compared among themselves. A row that is in the
     head of all its buckets and has no smaller open row near it leads; rows near a leader and after it are closed.
-    The smallest open id always leads, so every round gets on. At the end each follower is given its smallest leader.
+    The smallest open id always leads, so every round gets on and the rounds end; with ``most_rounds`` it is an error if
+    rows are open after them. At the end each follower is given its smallest leader.
     Exact copies are one class, since they share their fate. Pairs are never written, only one row per row and bucket.
     """
     rows = df.where(F.col(key).isNotNull() & search.usable(F.col(vector), dim)).select(F.col(key).alias("id"), F.col(vector).alias("vec"))
@@ -225,10 +234,11 @@ def greedy_followers(df: DataFrame, key: str, vector: str, dim: int, least_cosin
 
     open_, leaders, closed = Stage(signed, "open"), [], []
     order = Window.partitionBy("band", "code").orderBy("id")
-    for _ in range(most_rounds):
+    for rounds in itertools.count():
         rows_left = open_.df.count()
         if rows_left == 0:
             break
+        _check_rounds(rounds, most_rounds)
         spread = _spread(open_.df)
         shared = spread.groupBy("band", "code").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         edge = spread.select("band", "code", "id").withColumn("r", F.row_number().over(order)).where(F.col("r") <= head).groupBy("band", "code").agg(F.max("id").alias("last"))

@@ -1,4 +1,5 @@
 import datetime
+import inspect
 import json
 import math
 import random
@@ -89,6 +90,19 @@ def test_greedy_leaders(spark):
     assert dedup.greedy_leaders(df.limit(0)).count() == 0
 
 
+def test_leaders_are_never_left_open(spark):
+    """A round limit that is reached is an error, and there is none unless one is asked for."""
+    path = spark.createDataFrame([(i, i + 1, 1.0) for i in range(8)], "a long, b long, cosine double")
+    with pytest.raises(RuntimeError, match="did not settle in 2 rounds"):
+        dedup.greedy_leaders(path, most_rounds=2)
+    angle = np.arange(8) * 0.06
+    v = (np.stack([np.cos(angle), np.sin(angle)], axis=1) @ np.eye(64)[:2]).astype(np.float32)
+    with pytest.raises(RuntimeError, match="did not settle in 1 rounds"):
+        dedup.greedy_followers(frame(spark, v), "id", "vector", 64, 0.998, bits=4, most_rounds=1)
+    for f in (dedup.greedy_leaders, dedup.greedy_followers):
+        assert inspect.signature(f).parameters["most_rounds"].default is None
+
+
 def test_near_pairs(spark):
     rng = np.random.default_rng(2)
     base = rng.standard_normal((60, 64))
