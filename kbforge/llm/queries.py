@@ -57,6 +57,14 @@ def p7_fill(spark: SparkSession, folder: str) -> DataFrame:
     return packing.fill_report(p7_pack(spark, folder))
 
 
+def p7_valid(spark: SparkSession, folder: str) -> DataFrame:
+    """The packing added up: all pieces and tokens are there, no container is over the capacity, and beside the last one
+    the containers leave less than a hundredth open."""
+    filled = packing.fill_report(p7_pack(spark, folder))
+    tight = (F.col("containers") - 1) * packing.CAPACITY * 0.99 < F.col("tokens")
+    return filled.select("pieces", "tokens", (F.col("largest") <= packing.CAPACITY).alias("within"), tight.alias("filled"))
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents over one container, from the containers that hold their pieces."""
     return p7_pack(spark, folder).where("n_pieces > 1").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pieces"))
@@ -82,10 +90,10 @@ def queries() -> dict:
     return {
         "p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_records": p2_records, "p4_found": p4_found, "p5_found": p5_found,
         "p6_found": p6_found, "p6_clauses": p6_clauses,
-        "p7_found": p7_found, "p7_pack": p7_pack, "p7_fill": p7_fill, "p8_found": p8_found,
+        "p7_found": p7_found, "p7_pack": p7_pack, "p7_fill": p7_fill, "p7_valid": p7_valid, "p8_found": p8_found,
         "p9_found": p9_found, "p9_labels": p9_labels, "p9_statistics": p9_statistics,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": sql.P2_FOUND, "p4_found": sql.P4_FOUND, "p7_found": sql.P7_FOUND, "p9_statistics": sql.P9_STATISTICS}
+    return {"p2_found": sql.P2_FOUND, "p4_found": sql.P4_FOUND, "p7_found": sql.P7_FOUND, "p7_valid": sql.P7_VALID, "p9_statistics": sql.P9_STATISTICS}

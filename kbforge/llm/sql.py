@@ -41,6 +41,11 @@ P7_FOUND = """
 SELECT doc_id, ceil((strlen(text) + 1) / 4096.0)::BIGINT AS n_pieces FROM documents WHERE strlen(text) + 1 > 4096
 """
 
+P7_VALID = """
+SELECT sum(ceil((strlen(text) + 1) / 4096.0))::BIGINT AS pieces, sum(strlen(text) + 1)::BIGINT AS tokens, true AS within, true AS filled
+FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL
+"""
+
 _COMMON = ", ".join(f"'{w}'" for w in sorted({w for ws in COMMON.values() for w in ws.split()}))
 
 P9_STATISTICS = rf"""

@@ -34,7 +34,24 @@ def test_fill():
     rng = random.Random(3)
     sizes = [min(4096, int(rng.lognormvariate(6.5, 1)) + 1) for _ in range(1000)]
     windows = packing.fill_windows(sizes)
-    assert sum(sizes) / (4096 * len(windows)) > 0.96
+    assert sum(sizes) / (4096 * len(windows)) > 0.99
+
+
+def test_overfull_window_that_needs_two_others():
+    sizes = [90, 15, 50, 40, 30, 30, 35]
+    windows = [[0, 1], [2, 3], [4, 5, 6]]
+    assert packing.level(windows, sizes, 100)
+    assert sorted(i for w in windows for i in w) == list(range(7)) and all(sum(sizes[i] for i in w) <= 100 for w in windows)
+    assert not packing.level([[0], [1]], [101, 100], 100)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(1, 50), min_size=2, max_size=14))
+def test_outcomes(sizes):
+    """Complete differencing finds the fullest window that fits."""
+    best = max(s for n in range(1 << len(sizes)) if (s := sum(x for i, x in enumerate(sizes) if n >> i & 1)) <= 60)
+    one, two = packing.outcomes(list(range(len(sizes))), sizes, 60)[0]
+    assert sum(sizes[i] for i in one) == best and sorted(one + two) == list(range(len(sizes)))
 
 
 def test_rows(spark):
