@@ -1,14 +1,20 @@
 """Several values packed in one field: infer the delimiter, split, and give each value a row and a position.
 
-The delimiter of a source is inferred by scoring candidate families. A family's score on one string has three parts:
-piece-count consistency (does the family divide the string at all), and the regularity of the pieces (the share that
-holds no delimiter of a stronger family, and the share that looks like the field's type). Scores are summed over the
-rows of a source; without a source column every string is its own source, as where each record is packed in its own way.
+The delimiter of a source is inferred by scoring candidate families over all of its rows: how consistent the piece
+counts are of the strings that a family divides (one over one plus their coefficient of variation, times the share of
+strings it divides), the share of pieces that hold no delimiter of a stronger family, and the share that looks like
+the field's type. The scores are sums, so a source that holds most rows is added up before anything is shuffled, and
+they give each source its ranking of the families. A string is then divided by the family that leaves no stronger
+delimiter in a piece and divides at all; where several do, by the one whose pieces look most like the field's type, and
+of these by the one that ranks first in its source.
 What stands in double quotes or parentheses is never divided.
 
+Strings without quotes, brackets or parentheses are scored, chosen and split by column expressions; the rest, where
+nesting matters, go through Python in Arrow batches. Both follow the same rules.
+
 Defined results: a null, blank or all-delimiter string gives no row, and neither does a row without a key; empty
 pieces and pieces of bare delimiters are dropped and not counted; an unbalanced quote or parenthesis is an ordinary character; repeated input rows
-give repeated output rows; other columns play no part.
+give repeated output rows; a null source is a source of its own; other columns play no part.
 """
 
 from __future__ import annotations
@@ -16,16 +22,16 @@ from __future__ import annotations
 import ast
 import json
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from kbforge.staging import Stage, broadcast_if_small
+from kbforge.staging import Stage, broadcast_if_small, once
 
 #: Sources up to which their families are broadcast; beyond it the join shuffles.
 MOST_SOURCES = 100_000
@@ -45,7 +51,6 @@ class Packed:
     column: str
     families: tuple[tuple[str, str], ...]
     piece: str = r".*\w.*"
-    compiled: list = field(default_factory=list, compare=False, repr=False)
 
 
 NAMES = Packed(
@@ -57,7 +62,15 @@ NAMES = Packed(
     ),
     r"[^;|]*\w[^;|]*",
 )
-CODES = Packed("categories", (("code", r"[\s,;|/]+"),), r"[\w.-]+")
+CODES = Packed(
+    "categories",
+    (
+        ("any", r"[\s,;|/]+"),
+        ("marks", r"\s*[,;|/][\s,;|/]*"),
+        ("blank", r"\s+"),
+    ),
+    r"[\w.-]+",
+)
 
 #: What makes a family count as present; for the first family of NAMES the words between names alone don't.
 EVIDENCE = {"semicolon_bar": r"[;|]"}
@@ -117,7 +130,7 @@ class Splitter:
         self.piece = re.compile(packed.piece, re.S)
 
     def scores(self, text: str) -> list[tuple[str, float, float, float]]:
-        """(family, consistency, whole, typed) of each candidate on one string."""
+        """(family, divides, whole, typed) of each candidate on one string."""
         mask, out = protect(text), []
         for k, (name, pattern, evidence) in enumerate(self.families):
             divides = bool(evidence.search(mask)) and bool(pattern.search(mask))
@@ -128,13 +141,14 @@ class Splitter:
             out.append((name, float(divides), whole / n, typed / n))
         return out
 
-    def choose(self, text: str) -> str:
-        """The family with the best score on this string: no stronger delimiter left in a piece, then one that divides,
-        then pieces of the field's type; the stronger one at a tie."""
-        best = max(enumerate(self.scores(text)), key=lambda x: (x[1][2] == 1.0, x[1][1], x[1][3], -x[0]))
+    def choose(self, text: str, ranking: list[str] | None = None) -> str:
+        """The family for a string: no stronger delimiter left in a piece, then one that divides, then pieces of the
+        field's type, then the source's ranking, then the stronger one."""
+        place = {name: k for k, name in enumerate(ranking or ())}
+        best = max(enumerate(self.scores(text)), key=lambda x: (x[1][2] == 1.0, x[1][1], x[1][3], -place.get(x[1][0], len(place)), -x[0]))
         return best[1][0]
 
-    def split(self, text: str | None, family: str | None = None) -> list[str]:
+    def split(self, text: str | None, ranking: list[str] | None = None) -> list[str]:
         text = (text or "").strip()
         if not text:
             return []
@@ -142,87 +156,120 @@ class Splitter:
         if values is None:
             if text.startswith("[") and text.endswith("]"):
                 text = text[1:-1]
-            pattern = next(p for n, p, _ in self.families if n == (family or self.pick(text)))
+            family = self.choose(text, ranking)
+            pattern = next(p for n, p, _ in self.families if n == family)
             values = [clean(p) for p in pieces(text, protect(text), pattern)]
         return [v for v in values if not BARE.fullmatch(v)]
 
-    def pick(self, text: str) -> str:
-        return self.families[0][0] if len(self.families) == 1 else self.choose(text)
 
-
-def infer_delimiters(df: DataFrame, packed: Packed, source: str) -> DataFrame:
-    """(source, family): the best family of each source, from scores summed over all its rows (map-side sums first)."""
-    families = [n for n, _ in packed.families]
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        splitter = Splitter(packed)
-        for batch in batches:
-            sums: dict[tuple, list] = {}
-            for src, text in zip(batch["source"], batch["text"]):
-                if text is None or not text.strip() or bracketed(text.strip()) is not None:
-                    continue
-                for name, divides, whole, typed in splitter.scores(text.strip()):
-                    at = sums.setdefault((src, name), [0.0, 0])
-                    at[0] += divides + 2 * whole + typed
-                    at[1] += 1
-            yield pd.DataFrame([(s, n, *v) for (s, n), v in sums.items()], columns=["source", "family", "score", "n"])
-
-    rows = df.select(F.col(source).cast("string").alias("source"), F.col(packed.column).alias("text"))
-    total = (
-        rows.mapInPandas(score, "source string, family string, score double, n long")
-        .groupBy("source", "family")
-        .agg((F.sum("score") / F.sum("n")).alias("score"))
-    )
-    rank = F.array_position(F.array(*[F.lit(x) for x in families]), F.col("family"))
-    best = Window.partitionBy("source").orderBy(F.col("score").desc(), rank)
-    return total.withColumn("rank", F.row_number().over(best)).where("rank = 1").select("source", "family")
-
-
-def split_packed(df: DataFrame, key: str, fields: tuple[Packed, ...], source: str | None = None) -> DataFrame:
+#: Characters by which a string is left to Python: quotes, brackets, parentheses, and white space or control characters
+#: that the two regular expression engines take differently.
+NESTED = "[\"()\\[\\]\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+
+
+def _strip(text: Column) -> Column:
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
+def _simple(text: Column) -> Column:
+    return ~F.coalesce(text.rlike(NESTED), F.lit(False))
+
+
+def _without(patterns: list[str]) -> Callable[[Column], Column]:
+    return lambda x: ~x.rlike("|".join(f"(?:{p})" for p in patterns))
+
+
+def _scored(mask: Column, packed: Packed) -> Column:
+    """Array of (name, divides, n, whole, typed), one entry per family, for a string without nesting: the number of
+    pieces, and how many of them hold no stronger delimiter and look like the field's type."""
+    evidence = lambda name, pattern: f"(?i:{EVIDENCE.get(name, pattern)})"
+    out = []
+    for k, (name, pattern) in enumerate(packed.families):
+        found = F.filter(F.split(mask, "(?i)" + pattern), lambda x: F.trim(_strip(x)) != "")
+        stronger = [evidence(*f) for f in packed.families[:k]]
+        whole = F.size(F.filter(found, _without(stronger))) if stronger else F.size(found)
+        typed = F.size(F.filter(found, lambda x: x.rlike(f"(?Us)^(?:{packed.piece})$")))
+        divides = mask.rlike(evidence(name, pattern)) & mask.rlike("(?i)" + pattern)
+        out.append(F.struct(F.lit(name).alias("name"), divides.cast("double").alias("divides"), F.size(found).alias("n"), whole.alias("whole"), typed.alias("typed")))
+    return F.array(*out)
+
+
+def _chosen(scored: Column, ranking: Column, packed: Packed) -> Column:
+    """The name of the family that ``Splitter.choose`` takes, from the scores of a string without nesting."""
+    place = lambda x: F.coalesce(F.nullif(F.array_position(ranking, x["name"]), F.lit(0)), F.lit(len(packed.families) + 1))
+    least = lambda x: F.greatest(x["n"], F.lit(1))
+    order = F.transform(scored, lambda x, i: F.struct((x["whole"] == least(x)).alias("whole"), x["divides"].alias("divides"), (x["typed"] / least(x)).alias("typed"), (-place(x)).alias("place"), (-i).alias("strength"), x["name"].alias("name")))
+    return F.array_max(order)["name"]
+
+
+def _values(text: Column, family: Column, packed: Packed) -> Column:
+    """The values of a string without nesting."""
+    cut = reduce(lambda rest, f: F.when(family == f[0], F.split(text, "(?i)" + f[1])).otherwise(rest), packed.families, F.array().cast("array<string>"))
+    one = lambda x: _strip(F.regexp_replace(_strip(F.regexp_replace(x, r"\s+", " ")), "^'(.*)'$", "$1"))
+    return F.filter(F.transform(cut, one), lambda v: ~v.rlike(r"^[\s,;|&]*$"))
+
+
+def infer_delimiters(df: DataFrame, packed: Packed, source: Column) -> DataFrame:
+    """(source, ranking): the families of each source from the best score on. Lists in brackets have no delimiter and
+    take no part; quotes and parentheses, to three levels, count as one letter here."""
+    text = _strip(F.col(packed.column))
+    quoted = F.regexp_replace(F.regexp_replace(text, r"^\[|\]$", ""), QUOTED.pattern, "x")
+    noted = reduce(lambda m, _: F.regexp_replace(m, INNERMOST.pattern, "x"), range(3), quoted)
+    mask = F.when(text.rlike(r'["()\[\]]'), noted).otherwise(text)
+    listed = F.startswith(text, F.lit("[")) & F.endswith(text, F.lit("]"))
+    rows = df.select(source.cast("string").alias("source"), F.when(~listed & (text != ""), mask).alias("mask")).where("mask is not null")
+    rows = once(rows, ["source"], {"scored": _scored(F.col("mask"), packed)})
+    sums = []
+    for k in range(len(packed.families)):
+        x = F.get("scored", F.lit(k))
+        n = x["n"].cast("double")
+        divided = F.when(x["divides"] == 1.0, n)
+        least = F.greatest(n, F.lit(1.0))
+        # sums of whole numbers and fractions of few digits: the order of adding them doesn't show in a ranking of rounded scores
+        sums += [F.sum(x["divides"]).alias(f"d_{k}"), F.sum(divided).alias(f"n_{k}"), F.sum(divided * divided).alias(f"nn_{k}"), F.sum(x["whole"] / least).alias(f"w_{k}"), F.sum(x["typed"] / least).alias(f"t_{k}")]
+    total = rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), *sums)
+    scores = []
+    for k, (name, _) in enumerate(packed.families):
+        d, mean = F.col(f"d_{k}"), F.try_divide(f"n_{k}", f"d_{k}")
+        spread = F.sqrt(F.greatest(F.try_divide(f"nn_{k}", f"d_{k}") - mean * mean, F.lit(0.0)))
+        consistency = F.coalesce(d / F.col("rows") / (1 + F.try_divide(spread, mean)), F.lit(0.0))
+        score = F.round(consistency + (2 * F.col(f"w_{k}") + F.col(f"t_{k}")) / F.col("rows"), 9)
+        scores.append(F.struct((-score).alias("s"), F.lit(k).alias("k"), F.lit(name).alias("name")))
+    return total.select("source", F.transform(F.array_sort(F.array(*scores)), lambda x: x["name"]).alias("ranking"))
+
+
+def split_packed(df: DataFrame, key: str, fields: tuple[Packed, ...], source: Column | None = None) -> DataFrame:
     """(key, field, pos, value): each value of each packed field on a row of its own, positions from 1.
 
-    Without ``source`` it is one narrow pass and nothing is shuffled. With it, each source's family comes from
-    ``infer_delimiters``, is written down and joined back, by broadcast where the sources are counted to be few.
+    ``source``: what tells the sources apart; without it all rows are one source. The rankings are written down and
+    joined back, by broadcast where the sources are counted to be few.
     """
-    if source is not None:
-        parts = []
-        for packed in fields:
-            chosen = broadcast_if_small(Stage(infer_delimiters(df, packed, source), "families").df, MOST_SOURCES)
-            rows = df.where(F.col(key).isNotNull()).select(key, F.col(source).cast("string").alias("source"), F.col(packed.column).alias("text"))
-            joined = rows.join(chosen, rows["source"].eqNullSafe(chosen["source"]), "left").select(key, "text", "family")
-            parts.append(_explode(joined, key, packed))
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out
-    columns = [p.column for p in fields]
-    schema = T.StructType(
-        [T.StructField(key, df.schema[key].dataType), T.StructField("field", T.StringType()), T.StructField("pos", T.LongType()), T.StructField("value", T.StringType())]
-    )
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        splitters = [(p.column, Splitter(p)) for p in fields]
-        for batch in batches:
-            out = []
-            for column, splitter in splitters:
-                for k, text in zip(batch["key"], batch[column]):
-                    out += [(k, column, i, v) for i, v in enumerate(splitter.split(text), 1)]
-            yield pd.DataFrame(out, columns=[key, "field", "pos", "value"])
-
-    return df.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), *columns).mapInPandas(run, schema)
-
-
-def _explode(rows: DataFrame, key: str, packed: Packed) -> DataFrame:
-    schema = T.StructType(
-        [T.StructField(key, rows.schema[key].dataType), T.StructField("field", T.StringType()), T.StructField("pos", T.LongType()), T.StructField("value", T.StringType())]
-    )
+    rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("key_"), (F.lit(None) if source is None else source).cast("string").alias("source_"), *[F.col(p.column).alias(f"text_{i}") for i, p in enumerate(fields)])
+    for i, packed in enumerate(fields):
+        chosen = Stage(infer_delimiters(rows, replace(packed, column=f"text_{i}"), F.col("source_")), "families").df
+        chosen = broadcast_if_small(chosen.select(F.col("source").alias("from_"), F.col("ranking").alias(f"ranking_{i}")), MOST_SOURCES)
+        rows = rows.join(chosen, F.col("source_").eqNullSafe(F.col("from_")), "left").drop("from_")
+    kind = df.schema[key].dataType
+
+    each, none = range(len(fields)), F.array().cast("array<string>")
+    ranks = [f"ranking_{i}" for i in each]
+    held = once(rows, ["key_", *ranks], {f"t_{i}": F.when(_simple(F.col(f"text_{i}")), _strip(F.col(f"text_{i}"))) for i in each})
+    held = once(held, ["key_", *ranks, *[f"t_{i}" for i in each]], {f"s_{i}": _scored(F.col(f"t_{i}"), p) for i, p in enumerate(fields)})
+    held = once(held, ["key_", *[f"t_{i}" for i in each]], {f"f_{i}": _chosen(F.col(f"s_{i}"), F.col(f"ranking_{i}"), p) for i, p in enumerate(fields)})
+    found = F.array(*[F.struct(F.lit(p.column).alias("field"), F.coalesce(_values(F.col(f"t_{i}"), F.col(f"f_{i}"), p), none).alias("values")) for i, p in enumerate(fields)])
+    flat = held.select("key_", F.explode(found).alias("v")).select("key_", "v.field", F.posexplode("v.values").alias("pos", "value")).select(F.col("key_").alias(key), "field", (F.col("pos") + 1).cast("long").alias("pos"), "value")
+    nested = rows.where(reduce(lambda a, b: a | b, [~_simple(F.col(f"text_{i}")) for i in each]))
+    columns = [c for i in each for c in (F.when(~_simple(F.col(f"text_{i}")), F.col(f"text_{i}")).alias(f"text_{i}"), f"ranking_{i}")]
+    schema = T.StructType([T.StructField(key, kind), T.StructField("field", T.StringType()), T.StructField("pos", T.LongType()), T.StructField("value", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        splitter = Splitter(packed)
+        splitters = [(i, p.column, Splitter(p)) for i, p in enumerate(fields)]
         for batch in batches:
             out = []
-            for k, text, family in zip(batch[key], batch["text"], batch["family"]):
-                out += [(k, packed.column, i, v) for i, v in enumerate(splitter.split(text, family), 1)]
+            for i, column, splitter in splitters:
+                for k, text, ranking in zip(batch["key_"], batch[f"text_{i}"], batch[f"ranking_{i}"]):
+                    if text is not None:
+                        out += [(k, column, n, v) for n, v in enumerate(splitter.split(text, None if ranking is None else list(ranking)), 1)]
             yield pd.DataFrame(out, columns=[key, "field", "pos", "value"])
 
-    return rows.mapInPandas(run, schema)
+    return flat.unionByName(nested.select("key_", *columns).mapInPandas(run, schema))

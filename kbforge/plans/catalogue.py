@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from kbforge.operators import packed
 from kbforge.plans import hybrid_queries, registry, table_queries, text_queries, vector_queries  # noqa: F401  (registration)
@@ -11,7 +12,10 @@ from kbforge.plans.registry import Tables, query
 
 @query("p3_found")
 def p3_found(t: Tables) -> DataFrame:
-    return packed.split_packed(t.ts_arxiv, "id", (packed.NAMES, packed.CODES))
+    """A source is what the papers' ids are made by: the archive of an old-style id (archive/number), the month of a
+    new-style one (month.number)."""
+    source = F.regexp_extract("paper_id", r"^([^/.]*)[/.]", 1)
+    return packed.split_packed(t.ts_arxiv, "id", (packed.NAMES, packed.CODES), source)
 
 
 def queries() -> dict:
