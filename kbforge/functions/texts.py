@@ -158,19 +158,28 @@ def is_url(text: Column) -> Column:
     return F.startswith(text, F.lit("http://")) | F.startswith(text, F.lit("https://"))
 
 
+#: By the name space of a wiki link the site that its page is on, what stands before the page's name there,
+#: and whether the link is that name as a whole. A whole link to the commons with a second name space loses the first.
+PLACES = {
+    "c": ("commons", "", False),
+    "commons": ("commons", "", True),
+    "file": ("commons", "File:", False),
+    "image": ("commons", "File:", False),
+    "media": ("commons", "File:", False),
+    "timedtext": ("commons", "File:", False),
+    "category": ("base", "Category:", False),
+}
+
+
 def link_target(link: Column, base: str, commons: str) -> Column:
-    """The address of a wiki link: commons, media and category names have places of their own."""
-    named = link.contains(":")
-    space = F.lower(F.substring_index(link, ":", 1))
-    rest = F.substring(link, F.instr(link, ":") + 1, F.length(link))
-    at = lambda root, name: F.concat(F.lit(root), page_name(name))
-    return (
-        F.when(F.startswith(link, F.lit("c:")), at(commons, F.substring(link, 3, 1_000_000)))
-        .when(named & (space == "commons"), F.when(rest.contains(":"), at(commons, rest)).otherwise(at(commons, link)))
-        .when(named & space.isin("file", "image", "media", "timedtext"), at(commons + "File:", rest))
-        .when(named & (space == "category"), at(base + "Category:", rest))
-        .otherwise(at(base, link))
-    )
+    """The address of a wiki link: commons, media and category names have places of their own (``c`` in lower case only)."""
+    space, rest = F.substring_index(link, ":", 1), F.substring(link, F.instr(link, ":") + 1, F.length(link))
+    out = F.when(~link.contains(":"), F.concat(F.lit(base), page_name(link)))
+    for name, (root, before, whole) in PLACES.items():
+        own = space if name == "c" else F.lower(space)
+        page = F.when(rest.contains(":"), rest).otherwise(link) if whole else rest
+        out = out.when(own == name, F.concat(F.lit({"base": base, "commons": commons}[root] + before), page_name(page)))
+    return out.otherwise(F.concat(F.lit(base), page_name(link)))
 
 
 def image_path(name: Column, root: str) -> Column:
@@ -187,7 +196,8 @@ def anchors_to_markdown(html: Column) -> Column:
 
 def og_images(html: Column) -> Column:
     """(url, width, height) of every og:image that has a size before the next image, in order."""
-    blocks = F.slice(F.split(html, r"<meta property=\"og:image\" content="), 2, 100_000)
+    cut = F.split(html, r"<meta property=\"og:image\" content=")
+    blocks = F.slice(cut, F.lit(2), F.size(cut))
 
     def one(b: Column) -> Column:
         size = lambda k: F.expr("null") if k is None else F.try_to_number(F.regexp_extract(b, rf"og:image:{k}\" content=\"(\d+)", 1), F.lit("999999999")).cast("long")

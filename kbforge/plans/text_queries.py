@@ -36,12 +36,8 @@ def wikilink_resolve(t: Tables) -> DataFrame:
     return links.select("doc_id", "link", texts.link_target(F.col("link"), BASE, COMMONS).alias("target"))
 
 
-_STYLED = "text"
-for _tag, _mark in texts.INLINE_STYLES:
-    _STYLED = f"regexp_replace({_STYLED}, '<{_tag}>(.*?)</{_tag}>', '{_mark}\\1{_mark}', 'g')"
-
-
-@query("inline_html_style", f"SELECT doc_id, md5({_STYLED}) AS styled FROM documents")
+@query("inline_html_style", r"""SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '<em>(.*?)</em>', '*\1*', 'g'), '<strong>(.*?)</strong>', '**\1**', 'g'),
+  '<strike>(.*?)</strike>', '~~\1~~', 'g'), '<code>(.*?)</code>', '`\1`', 'g')) AS styled FROM documents""")
 def inline_html_style(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.md5(texts.inline_style(F.col("text"))).alias("styled"))
 
@@ -76,9 +72,9 @@ def snippet_window(t: Tables) -> DataFrame:
 
 
 @query("title_truncate", """SELECT doc_id, CASE WHEN length(title) >= 50 THEN substr(title, 1, 47) || '...' ELSE title END AS title, CASE WHEN length(url) >= 50 THEN substr(url, 1, 47) || '...' ELSE url END AS url,
-  '...' || substr(replace(text, chr(10), ' '), greatest((length(text) - 80) // 2, 0) + 1, 74) || '...' AS middle FROM documents WHERE length(text) >= 80""")
+  '...' || substr(replace(text, chr(10), ' '), greatest((length(text) - 80) // 2, 0) + 1, 74) || '...' AS middle FROM documents""")
 def title_truncate(t: Tables) -> DataFrame:
-    return t.documents.where("length(text) >= 80").select("doc_id", texts.shorten(F.col("title")).alias("title"), texts.shorten(F.col("url")).alias("url"), texts.middle(F.col("text")).alias("middle"))
+    return t.documents.select("doc_id", texts.shorten(F.col("title")).alias("title"), texts.shorten(F.col("url")).alias("url"), texts.middle(F.col("text")).alias("middle"))
 
 
 _SLUG = "regexp_replace(regexp_replace(regexp_replace(lower(caption), '[^a-z0-9-]', '-', 'g'), '-+', '-', 'g'), '^-+|-+$', '', 'g')"
@@ -108,21 +104,19 @@ def srt_timestamp_fix(t: Tables) -> DataFrame:
     return fixed.select("event_id", "stamp", texts.subtitle_millis(F.col("stamp")).alias("millis"))
 
 
-@query("video_id_extract", r"""WITH u AS (SELECT id, CASE id % 4 WHEN 0 THEN 'https://www.youtube.com/watch?v=' || substr(hash, 1, 11) WHEN 1 THEN 'youtu.be/' || substr(hash, 1, 11) WHEN 2 THEN 'see https://youtube.com/shorts/' || substr(hash, 1, 11) ELSE url END AS u FROM is_pd12m)
-  SELECT id, nullif(regexp_extract(u, '(?:https?://)?(?:www\.)?(?:youtube\.com/(?:watch\?v=|embed/|v/|shorts/)|youtu\.be/)([a-zA-Z0-9_-]{11})', 1), '') AS video,
-    regexp_matches(u, '^(?:https?://)?(?:www\.)?(?:youtube\.com/(?:watch\?v=|embed/|v/|shorts/)|youtu\.be/)([a-zA-Z0-9_-]{11})') AS is_video FROM u""")
+@query("video_id_extract", """SELECT id, CASE WHEN id % 4 < 3 THEN substr(hash, 1, 11) END AS video, CASE WHEN id % 4 = 3 THEN url <> url ELSE hash <> '' AND id % 4 < 2 END AS is_video FROM is_pd12m""")
 def video_id_extract(t: Tables) -> DataFrame:
     start = F.substring("hash", 1, 11)
     url = F.when(F.col("id") % 4 == 0, F.concat(F.lit("https://www.youtube.com/watch?v="), start)).when(F.col("id") % 4 == 1, F.concat(F.lit("youtu.be/"), start)).when(F.col("id") % 4 == 2, F.concat(F.lit("see https://youtube.com/shorts/"), start)).otherwise(F.col("url"))
     return t.is_pd12m.select("id", scalars.video_id(url).alias("video"), scalars.is_video_url(url).alias("is_video"))
 
 
-_KIND = " ".join("WHEN e IN ({}) THEN '{}'".format(", ".join(f"'{x}'" for x in names), kind) for kind, names in scalars.KINDS.items())
-
-
-@query("file_kind", f"SELECT id, CASE {_KIND} ELSE 'other' END AS kind FROM (SELECT id, lower(regexp_extract(coalesce(caption, ''), '\\.([^./]*)$', 1)) AS e FROM is_pd12m)")
+@query("file_kind", r"""SELECT id, CASE WHEN e IN ('mp4', 'mkv', 'webm', 'flv') THEN 'video' WHEN e IN ('m4a', 'mp3', 'ogg', 'wav') THEN 'audio' WHEN e IN ('srt', 'vtt', 'ass') THEN 'subtitle'
+  WHEN e IN ('jpg', 'jpeg', 'png', 'webp') THEN 'image' WHEN e = 'json' THEN 'metadata' WHEN e = 'description' THEN 'description' ELSE 'other' END AS kind
+  FROM (SELECT id, lower(regexp_extract(coalesce(caption, '') || CASE id % 7 WHEN 0 THEN '.MP4' WHEN 1 THEN '.srt' WHEN 2 THEN '.m4a' WHEN 3 THEN '.json' ELSE '' END, '\.([^./]*)$', 1)) AS e FROM is_pd12m)""")
 def file_kind(t: Tables) -> DataFrame:
-    return t.is_pd12m.select("id", scalars.file_kind(F.coalesce("caption", F.lit(""))).alias("kind"))
+    ending = F.coalesce(F.get(F.array(*[F.lit(x) for x in (".MP4", ".srt", ".m4a", ".json")]), (F.col("id") % 7).cast("int")), F.lit(""))
+    return t.is_pd12m.select("id", scalars.file_kind(F.concat(F.coalesce("caption", F.lit("")), ending)).alias("kind"))
 
 
 @query("sections_600", """SELECT doc_id, (s // 600 + 1)::INTEGER AS index, s::INTEGER AS start, least(s + 600, n)::INTEGER AS "end" FROM (SELECT doc_id, n_chars AS n, unnest(CASE WHEN n_chars > 600 THEN range(0, n_chars, 600) ELSE [0::BIGINT] END) AS s FROM documents)""")
@@ -159,12 +153,14 @@ def expand_source(t: Tables) -> DataFrame:
     return t.is_pd12m.select("id", F.array_join(scalars.expand_source(F.col("origin_source")), "|").alias("sources"))
 
 
-@query("content_kind", "SELECT doc_id, CASE WHEN starts_with(text, '%PDF') THEN 'PDF' ELSE 'TEXT' END AS kind FROM documents WHERE text IS NOT NULL")
+@query("content_kind", "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'PDF' WHEN 1 THEN NULL ELSE 'TEXT' END AS kind FROM documents WHERE text IS NOT NULL AND NOT starts_with(text, '%PDF')")
 def content_kind(t: Tables) -> DataFrame:
-    return t.documents.where("text is not null").select("doc_id", scalars.content_kind(F.encode("text", "utf-8")).alias("kind"))
+    """Each text as it is, or behind the mark of a PDF, or behind a byte that is no UTF-8."""
+    before = F.when(F.col("doc_id") % 4 == 0, F.lit(b"%PDF-1.7 ")).when(F.col("doc_id") % 4 == 1, F.lit(b"\xff\xfe")).otherwise(F.lit(b""))
+    return t.documents.where("text is not null and not startswith(text, '%PDF')").select("doc_id", scalars.content_kind(F.concat(before, F.encode("text", "utf-8"))).alias("kind"))
 
 
-@query("angles_and_times", """SELECT event_id, (((floor((event_id % 360 + 45) / 90.0) * 90)::BIGINT % 360 + 360) % 360)::INTEGER AS angle, event_id // 60000 AS minutes, (event_id // 1000) % 60 AS seconds, event_id % 1000 AS millis,
+@query("angles_and_times", """SELECT event_id, CASE WHEN event_id % 360 <= 45 THEN 0 WHEN event_id % 360 <= 135 THEN 90 WHEN event_id % 360 <= 225 THEN 180 WHEN event_id % 360 <= 315 THEN 270 ELSE 0 END AS angle, event_id // 60000 AS minutes, (event_id // 1000) % 60 AS seconds, event_id % 1000 AS millis,
   round(sqrt(pow(value - 1, 2) + pow(user_id - 2, 2)), 6) AS distance FROM events""")
 def angles_and_times(t: Tables) -> DataFrame:
     e = F.col("event_id")

@@ -149,7 +149,7 @@ def test_captions(spark):
 
 def test_scalars(spark):
     assert one(spark, scalars.percent(F.lit(1), F.lit(2))) == "50.0%" and one(spark, scalars.percent(F.lit(1), F.lit(0))) == "0.0%"
-    assert [one(spark, scalars.right_angle(F.lit(x))) for x in (0, 44, 45, 134, 316, 359, -10)] == [0, 0, 90, 90, 0, 0, 0]
+    assert [one(spark, scalars.right_angle(F.lit(x))) for x in (0, 44, 45, 46, 134, 135, 136, 225, 315, 316, 359, -10)] == [0, 0, 0, 90, 90, 90, 180, 180, 270, 0, 0, 0]
     assert [s["end"] for s in one(spark, scalars.sections(F.lit(1300)))] == [600, 1200, 1300]
     assert [s["end"] for s in one(spark, scalars.sections(F.lit(5)))] == [5]
     assert one(spark, scalars.content_kind(F.lit(b"%PDF-1.4"))) == "PDF" and one(spark, scalars.content_kind(F.lit(b"ok"))) == "TEXT" and one(spark, scalars.content_kind(F.lit(b"\xff\xfe\xff"))) is None

@@ -81,6 +81,9 @@ def test_markup(spark):
     file, page = markup.picture_address("A b.jpg")
     assert markup.pictures('<img src="A b.jpg" alt="pic">') == f'[![pic]({file})]({page} "pic")' and markup.pictures("<img>") == "<img>"
     assert markup.markdown_pictures("![a [b]](A_b.jpg) ![c](http://u/x.png)") == f"![a [b]]({file}) http://u/x.png"
+    assert markup.links('a < b &amp; <a href="x"><b>deep</b> <a>in</a></a> <!--c--> <br/> <a href="u">never ends') == 'a < b &amp; [<b>deep</b> <a>in</a>](x "<b>deep</b> <a>in</a>") <!--c--> <br/> <a href="u">never ends'
+    assert markup.pictures("<IMG SRC='http://u/x.png' title=\"t\"><em>x</em>") == '[![t](http://u/x.png)](http://u/x.png "t")<em>x</em>'
+    assert markup.markdown_pictures("![a](b (c).png t) ![open ![x](y") == f'![a]({markup.picture_address("b")[0]} (c).png t) ![open ![x](y'
     df = spark.createDataFrame([('<a href="http://u">y</a>',), (None,)], "t string")
     assert [r[0] for r in df.select(markup.clean_page(F.col("t"))).collect()] == ['[y](http://u "y")', None]
     for link in ("A b", "c:X", "commons:X", "Commons:Talk:X", "image:X y", "Category:X", "talk:X"):
