@@ -95,7 +95,9 @@ def _near(t: Tables) -> DataFrame:
     return t.image_match.withColumn("similarity", scalars.as_fraction(F.col("similarity"))).where(F.col("similarity").between(0.999, 1.0))
 
 
-_MATCHED = "(SELECT id, max(similar_to) AS similar_to FROM image_match WHERE NOT isnan(similarity) AND similarity >= 0.999 AND similarity <= 1 GROUP BY id)"
+_FRACTION = "CASE WHEN isnan(similarity) THEN NULL WHEN similarity > 1 THEN round(similarity / 100, 12) ELSE similarity END"
+_LINKED = f"(SELECT id, similar_to, {_FRACTION} AS similarity FROM image_match WHERE {_FRACTION} BETWEEN 0.999 AND 1)"
+_MATCHED = f"(SELECT id, max(similar_to) AS similar_to FROM {_LINKED} GROUP BY id)"
 
 
 @query("dataset_report", f"""WITH r AS (SELECT i.*, coalesce(m.similar_to, 0) AS similar_to FROM is_pd12m i LEFT JOIN {_MATCHED} m ON i.id = m.id),
@@ -152,12 +154,13 @@ def json_props_extract(t: Tables) -> DataFrame:
 
 
 @query("passage_unnest", """SELECT query_id, query_type, (row_number() OVER (PARTITION BY query_id, query_type ORDER BY item_id, passage_id, passage_text NULLS FIRST) - 1)::BIGINT AS passage_id, passage_text, is_selected, url,
-  array_to_string(list_transform(answers, lambda a: trim(a)), '|') AS answers FROM ts_ms_marco WHERE query_id IS NOT NULL""")
+  array_to_string(list_transform(first_value(answers) OVER (PARTITION BY query_id, query_type ORDER BY item_id, query NULLS FIRST, answers NULLS FIRST), lambda a: trim(a)), '|') AS answers FROM ts_ms_marco WHERE query_id IS NOT NULL""")
 def passage_unnest(t: Tables) -> DataFrame:
     """The flat passages are nested by query first, as the deliveries are, and then unnested."""
     row = F.struct("item_id", "passage_id", "passage_text", "is_selected", "url")
-    nested = t.ts_ms_marco.where("query_id is not null").groupBy("query_id", "query_type").agg(F.first("query").alias("query"), F.first("answers").alias("answers"), F.first("well_formed_answers").alias("wellFormedAnswers"), F.array_sort(F.collect_list(row)).alias("p"))
-    items = nested.withColumn("passages", F.struct(F.col("p.passage_text").alias("passage_text"), F.col("p.is_selected").alias("is_selected"), F.col("p.url").alias("url")))
+    first = F.min(F.struct("item_id", "query", "answers", F.col("well_formed_answers").alias("wellFormedAnswers"))).alias("first")  # deliveries may differ
+    nested = t.ts_ms_marco.where("query_id is not null").groupBy("query_id", "query_type").agg(first, F.array_sort(F.collect_list(row)).alias("p"))
+    items = nested.select("query_id", "query_type", "first.*", "p").withColumn("passages", F.struct(F.col("p.passage_text").alias("passage_text"), F.col("p.is_selected").alias("is_selected"), F.col("p.url").alias("url")))
     flat = readers.passages(items)
     return flat.select("query_id", "query_type", "passage_id", "passage_text", "is_selected", "url", F.array_join("answers", "|").alias("answers"))
 
@@ -170,19 +173,37 @@ def _absorb(t: Tables) -> tuple[DataFrame, DataFrame]:
     return dedup.absorb(t.is_pd12m, t.ii_alpha, links, pairs, "pd12m")
 
 
-@query("absorb_merge", """WITH links AS (SELECT m.id, min(m.similar_to) AS target_id FROM image_match m WHERE m.similar_to BETWEEN 1 AND 40 AND NOT isnan(m.similarity) AND m.similarity BETWEEN 0.999 AND 1 AND m.id NOT IN (SELECT id FROM ii_alpha) GROUP BY m.id),
-  s AS (SELECT i.*, l.target_id, row_number() OVER (PARTITION BY l.target_id ORDER BY coalesce(i.origin_width * i.origin_height, 0) DESC, i.id) AS r FROM is_pd12m i JOIN links l ON i.id = l.id)
-  SELECT t.id, CASE WHEN s.id IS NOT NULL AND coalesce(t.origin_width * t.origin_height, 0) < coalesce(s.origin_width * s.origin_height, 0) THEN s.url ELSE t.url END AS url,
-    CASE WHEN s.id IS NOT NULL AND coalesce(t.origin_width * t.origin_height, 0) < coalesce(s.origin_width * s.origin_height, 0) THEN s.origin_width ELSE t.origin_width END AS origin_width,
-    CASE WHEN s.id IS NOT NULL AND coalesce(t.caption, '') = '' THEN s.caption ELSE t.caption END AS caption,
-    array_to_string(CASE WHEN s.id IS NULL THEN t.source ELSE list_sort(list_distinct(list_concat(t.source, ['pd12m']))) END, '|') AS source,
-    CASE WHEN s.id IS NULL THEN t.updated_at ELSE greatest(t.updated_at, s.updated_at) END AS updated_at FROM ii_alpha t LEFT JOIN s ON s.target_id = t.id AND s.r = 1""")
+#: Where the source rows go, one by one in order of their ids: a row linked to a target goes there; another one leads if
+#: no leader before it is linked to it. ``placed``: the most similar target or earlier leader of each row that goes
+#: somewhere. ``walk`` takes one row of the graph at a time and carries the leaders so far in a list.
+_PLACED = f"""links AS (SELECT id, similar_to AS target_id, max(similarity) AS similarity FROM {_LINKED} WHERE similar_to BETWEEN 1 AND 40 AND id IN (SELECT id FROM is_pd12m) AND similar_to IN (SELECT id FROM ii_alpha) GROUP BY ALL),
+  edges AS (SELECT least(id, similar_to) AS a, greatest(id, similar_to) AS b, max(similarity) AS similarity FROM {_LINKED} WHERE id <> similar_to AND id IN (SELECT id FROM is_pd12m) AND similar_to IN (SELECT id FROM is_pd12m) GROUP BY ALL),
+  free AS (SELECT * FROM edges WHERE a NOT IN (SELECT id FROM links) AND b NOT IN (SELECT id FROM links)),
+  nodes AS (SELECT id, coalesce(list(a) FILTER (a IS NOT NULL), []) AS before, row_number() OVER (ORDER BY id) AS n FROM (SELECT b AS id, a FROM free UNION ALL SELECT a, NULL FROM free) GROUP BY id),
+  walk AS (SELECT 0::BIGINT AS n, []::BIGINT[] AS leaders UNION ALL SELECT nodes.n, CASE WHEN list_has_any(before, leaders) THEN leaders ELSE list_append(leaders, id) END FROM walk JOIN nodes ON nodes.n = walk.n + 1),
+  followers AS (SELECT id FROM nodes WHERE NOT list_contains((SELECT leaders FROM walk ORDER BY n DESC LIMIT 1), id)),
+  every AS (SELECT id, target_id AS target, false AS fresh, similarity FROM links UNION ALL
+    SELECT b, a, true, similarity FROM edges WHERE a NOT IN (SELECT id FROM links) AND a NOT IN (SELECT id FROM followers)),
+  placed AS (SELECT id, arg_max(target, (similarity, NOT fresh, -target)) AS target, arg_max(fresh, (similarity, NOT fresh, -target)) AS fresh FROM every GROUP BY id)"""
+
+
+@query("absorb_merge", f"""WITH RECURSIVE {_PLACED},
+  s AS (SELECT i.*, p.target, coalesce(origin_width * origin_height, 0) AS area FROM is_pd12m i JOIN placed p ON i.id = p.id AND NOT p.fresh),
+  g AS (SELECT target, arg_max(struct_pack(url, origin_width, area), (area, -id)) AS picture, min(created_at) AS created_at, max(updated_at) AS updated_at, coalesce(first(caption ORDER BY id) FILTER (caption <> ''), first(caption ORDER BY id DESC)) AS caption FROM s GROUP BY target)
+  SELECT t.id, CASE WHEN coalesce(t.origin_width * t.origin_height, 0) < picture.area THEN picture.url ELSE t.url END AS url,
+    CASE WHEN coalesce(t.origin_width * t.origin_height, 0) < picture.area THEN picture.origin_width ELSE t.origin_width END AS origin_width,
+    CASE WHEN g.target IS NOT NULL AND coalesce(t.caption, '') = '' THEN g.caption ELSE t.caption END AS caption,
+    array_to_string(CASE WHEN g.target IS NULL THEN t.source ELSE list_sort(list_distinct(list_concat(t.source, ['pd12m']))) END, '|') AS source,
+    CASE WHEN g.target IS NULL THEN t.updated_at ELSE greatest(t.updated_at, g.updated_at) END AS updated_at FROM ii_alpha t LEFT JOIN g ON g.target = t.id""")
 def absorb_merge(t: Tables) -> DataFrame:
     updated, _ = _absorb(t)
     return updated.select("id", "url", "origin_width", "caption", F.array_join("source", "|").alias("source"), "updated_at")
 
 
-@query("absorb_insert", """SELECT id, url FROM is_pd12m WHERE id NOT IN (SELECT m.id FROM image_match m WHERE m.similar_to BETWEEN 1 AND 40 AND NOT isnan(m.similarity) AND m.similarity BETWEEN 0.999 AND 1 AND m.id IS NOT NULL)""")
+@query("absorb_insert", f"""WITH RECURSIVE {_PLACED},
+  s AS (SELECT i.url, i.id, p.target, coalesce(origin_width * origin_height, 0) AS area FROM is_pd12m i JOIN placed p ON i.id = p.id AND p.fresh),
+  g AS (SELECT target, arg_max(struct_pack(url, area), (area, -id)) AS picture FROM s GROUP BY target)
+  SELECT i.id, CASE WHEN coalesce(i.origin_width * i.origin_height, 0) < picture.area THEN picture.url ELSE i.url END AS url FROM is_pd12m i LEFT JOIN g ON g.target = i.id WHERE i.id NOT IN (SELECT id FROM placed)""")
 def absorb_insert(t: Tables) -> DataFrame:
     return _absorb(t)[1].select("id", "url")
 

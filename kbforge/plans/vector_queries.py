@@ -97,9 +97,10 @@ def vec_normalize_norm(t: Tables) -> DataFrame:
 
 
 @query("vec_mrl_truncate", """SELECT vec_id, len(v)::INTEGER AS dims, round(v[1] / n, 6) AS first, round(v[-1] / n, 6) AS last FROM (SELECT vec_id, v, greatest(sqrt(list_sum(list_transform(v, lambda x: x * x))), 1e-12) AS n
-  FROM (SELECT vec_id, (embedding::DOUBLE[])[1:128] AS v FROM embeddings))""")
+  FROM (SELECT vec_id, (list_concat(embedding, list_reverse(embedding), embedding)::DOUBLE[])[1:128] AS v FROM embeddings))""")
 def vec_mrl_truncate(t: Tables) -> DataFrame:
-    cut = t.embeddings.select("vec_id", V.mrl(F.col("embedding"), 128).alias("v"))
+    """Vectors of 192 elements, made from those of 64, cut to 128."""
+    cut = t.embeddings.select("vec_id", V.mrl(F.concat("embedding", F.reverse("embedding"), "embedding"), 128).alias("v"))
     return cut.select("vec_id", F.size("v").alias("dims"), F.round(F.element_at("v", 1), 6).alias("first"), F.round(F.element_at("v", -1), 6).alias("last"))
 
 

@@ -12,12 +12,10 @@ BAD = "_corrupt_record"
 
 
 def parquet_meta(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet rows with an ``id``: the table's own, else the place of the row in its files, counted from 0 per read.
-
-    The place is taken from the partition and the row within it; it is unique but not dense on a cluster.
-    """
+    """Parquet rows with an ``id``: the table's own, else the place of the row in its file, from 0, which is the same at
+    every read. Files of one folder each count from 0, as they do when they are loaded one by one."""
     df = spark.read.parquet(path)
-    return df if "id" in df.columns else df.withColumn("id", F.monotonically_increasing_id())
+    return df if "id" in df.columns else df.withColumn("id", F.col("_metadata.row_index"))
 
 
 def json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -14,11 +14,14 @@ _LOCAL: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one of our own only where that is unset (tests)."""
+    """The folder of ``spark.checkpoint.dir``; one of our own only where that is unset in local mode (tests). Elsewhere
+    that is an error, since each machine would write to a folder of its own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    app = spark.sparkContext.applicationId
+    app, master = spark.sparkContext.applicationId, spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder where the master is {master}")
     if app not in _LOCAL:
         _LOCAL[app] = tempfile.mkdtemp(prefix="kbforge-")
         atexit.register(shutil.rmtree, _LOCAL[app], True)

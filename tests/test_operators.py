@@ -228,6 +228,18 @@ def test_next_ids(spark):
     assert tables.next_ids(old, new.limit(0), "id", ["k"]).count() == 0
 
 
+def test_no_machine_local_stage_on_a_cluster():
+    from types import SimpleNamespace as N
+
+    from kbforge.staging import shared_dir
+
+    session = lambda master, folder: N(conf=N(get=lambda *_: folder), sparkContext=N(applicationId="a", master=master, getConf=lambda: N(get=lambda *_: None)))
+    assert shared_dir(session("spark://h:7077", "hdfs://x/y/")) == "hdfs://x/y"
+    for master in ("spark://h:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_dir(session(master, None))
+
+
 def test_table(spark, tmp_path):
     t = tables.Table(spark, f"file://{tmp_path}/t", spark.createDataFrame([], "id long, url string").schema, ["url"])
     assert t.read().count() == 0

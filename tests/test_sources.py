@@ -23,6 +23,8 @@ def test_query_inputs(spark, tmp_path):
 def test_parquet_ids(spark, tmp_path):
     spark.range(5).select(F.col("id").alias("x")).coalesce(1).write.parquet(f"file://{tmp_path}/p")
     assert {r["id"] for r in readers.parquet_meta(spark, f"file://{tmp_path}/p").collect()} == set(range(5))
+    many = readers.parquet_meta(spark, f"file://{tmp_path}/p").repartition(3)
+    assert sorted((r["id"], r["x"]) for r in many.collect()) == [(i, i) for i in range(5)]  # the row's own place, however it is read
 
 
 def test_xml_dump(spark, tmp_path):
