@@ -9,7 +9,9 @@ once one of them is. Each round is written to the shared folder; nothing is coll
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -19,7 +21,7 @@ from pyspark.sql.window import Window
 
 from kbforge.functions import scalars
 from kbforge.operators import search
-from kbforge.staging import Stage
+from kbforge.staging import Stage, broadcast_if_small
 
 SIMILARITY = 0.999
 BANDS, BAND_BITS = 24, 12
@@ -134,13 +136,26 @@ def greedy_leaders(pairs: DataFrame, most_rounds: int | None = None) -> DataFram
     return led.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("similar_to"), F.min_by("cosine", "a").alias("cosine"))
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """(band, code, id, vec): each row in each of its buckets."""
-    return rows.select("id", "vec", F.posexplode("codes").alias("band", "code"))
-
-
+#: Rows of an average bucket, and the share of near pairs that may share no bucket.
+BUCKET, MISSED = 256, 1e-6
 #: Rows that one call of a Python function is given: many small buckets together, or one cut of a hot bucket.
 ROWS_A_CALL = 20_000
+#: Hot buckets up to which their sizes are broadcast; beyond it the join shuffles.
+MOST_HOT = 100_000
+
+
+def signature_plan(rows: int, least_cosine: float, bits: int | None = None, missed: float = MISSED) -> tuple[int, int]:
+    """(bands, bits): as many bits that a bucket holds about BUCKET of evenly spread rows, so that the comparisons of a row
+    grow as the logarithm of ``rows``, and as many bands that a pair at ``least_cosine`` shares none of them with a
+    probability of at most ``missed``."""
+    bits = bits or max(4, round(math.log2(max(rows, 1) / BUCKET)))
+    same = (1 - math.acos(min(1.0, least_cosine)) / math.pi) ** bits
+    return (1 if same >= 1 else max(4, math.ceil(math.log(missed) / math.log1p(-same)))), bits
+
+
+def _spread(rows: DataFrame) -> DataFrame:
+    """(id, raw, band, code): each row in each of its buckets."""
+    return rows.select("id", "raw", F.posexplode("codes").alias("band", "code"))
 
 
 def _by_bucket(rows: DataFrame, keys: list[str], work, schema: str, total: int) -> DataFrame:
@@ -152,9 +167,9 @@ def _by_bucket(rows: DataFrame, keys: list[str], work, schema: str, total: int)
         pdf = pdf.sort_values(keys, ignore_index=True)
         codes = pdf[keys].to_numpy()
         start = np.append(np.flatnonzero(np.append(True, (codes[1:] != codes[:-1]).any(1))), len(pdf))
-        units, ids = _units(pdf), pdf["id"].to_numpy()
+        ids, raw = pdf["id"].to_numpy(), pdf["raw"].to_numpy()
         leads = pdf["leads"].to_numpy(dtype=bool) if "leads" in pdf else None
-        made = [work(ids[a:b], units[a:b], None if leads is None else leads[a:b]) for a, b in zip(start, start[1:])]
+        made = [work(ids[a:b], _units(raw[a:b]), None if leads is None else leads[a:b]) for a, b in zip(start, start[1:]) if b - a > 1]
         made = [m for m in made if len(m[0])]
         return pd.DataFrame({n: np.concatenate(x) for n, x in zip(names, zip(*made))} if made else {n: [] for n in names})
 
@@ -162,24 +177,33 @@ def _by_bucket(rows: DataFrame, keys: list[str], work, schema: str, total: int)
     return rows.withColumn("call_", F.pmod(F.xxhash64(*keys), F.lit(calls))).groupBy("call_").applyInPandas(run, schema)
 
 
-def _units(pdf: pd.DataFrame) -> np.ndarray:
-    v = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
+def _units(raw: np.ndarray) -> np.ndarray:
+    v = np.frombuffer(b"".join(raw), dtype=np.float32).reshape(len(raw), -1).astype(np.float64)
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def _nearest_leader(leaders: DataFrame, others: DataFrame, least_cosine: float, part: int, total: int) -> DataFrame:
-    """(id, leader, cosine): for each of ``others`` (id, vec, codes) its smallest leader before it, found in any bucket.
+def _nearest_leader(leaders: DataFrame, others: DataFrame, least_cosine: float, part: int, bands: int) -> DataFrame:
+    """(id, leader, cosine): for each of ``others`` (id, raw, codes) its smallest leader before it, found in any bucket.
 
-    In a bucket both sides are cut into parts by a hash; every part of the one meets every part of the other, and each
-    meeting gives at most one row per row of ``others``, so a hot bucket is spread and its pairs are never written.
+    A bucket that holds more than ``part`` of either side is cut into parts by a hash; every part of the one meets every
+    part of the other, and each meeting gives at most one row per row of ``others``, so a hot bucket is spread and its
+    pairs are never written.
     """
     buckets = ["band", "code"]
-    led, rest = _spread(leaders), _spread(others)
-    sizes = led.groupBy(*buckets).agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("nl")).join(rest.groupBy(*buckets).agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("nr")), buckets)
-    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = led.join(sizes, buckets).select(*buckets, own("nl").alias("i"), every("nr").alias("j"), "id", "vec", F.lit(True).alias("leads"))
-    right = rest.join(sizes, buckets).select(*buckets, every("nl").alias("i"), own("nr").alias("j"), "id", "vec", F.lit(False).alias("leads"))
+    n_led, n_rest = leaders.count(), others.count()
+    led, rest = _spread(leaders).withColumn("leads", F.lit(True)), _spread(others).withColumn("leads", F.lit(False))
+    both = led.unionByName(rest)
+    if max(n_led, n_rest) > part:
+        parts = lambda own: F.ceil(F.count_if(own) / part).cast("int")
+        sizes = both.groupBy(*buckets).agg(parts(F.col("leads")).alias("nl"), parts(~F.col("leads")).alias("nr")).where("nl > 1 or nr > 1")
+        both = both.join(broadcast_if_small(Stage(sizes, "sizes").df, MOST_HOT), buckets, "left")
+    else:
+        both = both.withColumns({"nl": F.lit(1), "nr": F.lit(1)})
+    count = lambda c: F.greatest(F.coalesce(F.col(c), F.lit(1)), F.lit(1))
+    own = lambda n: F.array(F.pmod(F.xxhash64("id"), n).cast("int"))
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    met = both.select(*buckets, F.explode(F.when(F.col("leads"), own(count("nl"))).otherwise(every(count("nl")))).alias("i"), "nr", "leads", "id", "raw")
+    met = met.select(*buckets, "i", F.explode(F.when(F.col("leads"), every(count("nr"))).otherwise(own(count("nr")))).alias("j"), "leads", "id", "raw")
 
     def meet(ids: np.ndarray, v: np.ndarray, leads: np.ndarray) -> tuple:
         order = np.flatnonzero(leads)
@@ -194,32 +218,50 @@ def _nearest_leader(leaders: DataFrame, others: DataFrame, least_cosine: float,
             out.append((ids[rows[hit]], ids[order[first[hit]]], c[np.arange(len(rows)), first][hit]))
         return tuple(np.concatenate(x) for x in zip(*out))
 
-    found = _by_bucket(left.unionByName(right), [*buckets, "i", "j"], meet, "id long, leader long, cosine double", total)
+    found = _by_bucket(met, [*buckets, "i", "j"], meet, "id long, leader long, cosine double", (n_led + n_rest) * bands)
     return found.groupBy("id").agg(F.min("leader").alias("leader"), F.min_by("cosine", "leader").alias("cosine"))
 
 
-def greedy_followers(df: DataFrame, key: str, vector: str, dim: int, least_cosine: float, bands: int = BANDS, bits: int = BAND_BITS, head: int = CELL, most_rounds: int | None = None) -> DataFrame:
+def _heads(open_: DataFrame, rows_left: int, head: int) -> tuple[DataFrame, DataFrame | None]:
+    """(rows in their buckets, those of hot buckets only as far as their ``head`` smallest ids; (id, cut, beyond) of the
+    rows of hot buckets: all of them are cut, and some lie beyond a head). None where no bucket is hot."""
+    spread, buckets = _spread(open_), ["band", "code"]
+    if rows_left <= head:
+        return spread, None
+    hot = Stage(spread.groupBy(*buckets).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > head).select(*buckets), "hot").df
+    known = broadcast_if_small(hot, MOST_HOT)
+    if hot.isEmpty():
+        return spread, None
+    order = Window.partitionBy(*buckets).orderBy("id")
+    ranked = spread.select("id", *buckets).join(known, buckets, "left_semi").withColumn("r", F.row_number().over(order)).where(F.col("r") <= head)
+    edge = Stage(ranked.groupBy(*buckets).agg(F.max("id").alias("last")), "edges").df
+    held = spread.join(broadcast_if_small(edge, MOST_HOT), buckets, "left")
+    places = held.where("last is not null").groupBy("id").agg(F.lit(True).alias("cut"), F.max(F.col("id") > F.col("last")).alias("beyond"))
+    return held.where("last is null or id <= last").drop("last"), places
+
+
+def greedy_followers(df: DataFrame, key: str, vector: str, dim: int, least_cosine: float, bits: int | None = None, head: int = CELL, most_rounds: int | None = None) -> DataFrame:
     """(id, similar_to, cosine) of every follower under the sequential leader rule, without a graph of pairs.
 
     In each round the ``head`` smallest open ids of every bucket are compared among themselves. A row that is in the
     head of all its buckets and has no smaller open row near it leads; rows near a leader and after it are closed.
     The smallest open id always leads, so every round gets on and the rounds end; with ``most_rounds`` it is an error if
-    rows are open after them. At the end each follower is given its smallest leader.
+    rows are open after them. When at most ``head`` rows are open, one task settles them. At the end each follower is given its smallest leader.
     Exact copies are one class, since they share their fate. Pairs are never written, only one row per row and bucket.
     """
     rows = df.where(F.col(key).isNotNull() & search.usable(F.col(vector), dim)).select(F.col(key).alias("id"), F.col(vector).alias("vec"))
     classes = rows.groupBy("vec").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    copies = rows.join(classes.where("n > 1").select("vec", "rep"), "vec").where("id <> rep").select("id", "rep")
+    bands, bits = signature_plan(rows.count(), least_cosine, bits)
     signs = _signs(dim, bands, bits)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights = 1 << np.arange(bits)
         for batch in batches:
-            code = ((np.stack(batch["vec"].to_numpy()).astype(np.float64) @ signs).reshape(len(batch), bands, bits) > 0) @ weights
-            yield pd.DataFrame({"id": batch["id"], "vec": batch["vec"], "codes": list(code.astype(np.int64))})
+            v = np.stack(batch["vec"].to_numpy()).astype(np.float32) if len(batch) else np.empty((0, dim), np.float32)
+            code = ((v.astype(np.float64) @ signs).reshape(len(batch), bands, bits) > 0) @ weights
+            yield pd.DataFrame({"id": batch["id"], "raw": [x.tobytes() for x in v], "codes": list(code.astype(np.int64))})
 
-    signed = Stage(classes.select(F.col("rep").alias("id"), "vec").mapInPandas(sign, "id long, vec array<float>, codes array<long>"), "signed").df
-    copied = Stage(copies, "copies").df
+    signed = Stage(classes.select(F.col("rep").alias("id"), "vec").mapInPandas(sign, "id long, raw binary, codes array<long>"), "signed").df
 
     def neighbours(ids: np.ndarray, v: np.ndarray, _) -> tuple:
         order = np.argsort(ids, kind="stable")
@@ -230,45 +272,56 @@ def greedy_followers(df: DataFrame, key: str, vector: str, dim: int, least_cosin
             places = np.arange(s, s + len(rows))[:, None]
             before[rows] = (c & (np.arange(len(ids))[None, :] < places)).any(1)
             after[rows] = (c & (np.arange(len(ids))[None, :] > places)).any(1)
-        return ids, before, after
+        some = before | after
+        return ids[some], before[some], after[some]
 
-    open_, leaders, closed = Stage(signed, "open"), [], []
-    order = Window.partitionBy("band", "code").orderBy("id")
+    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id", ignore_index=True)
+        near = (v := _units(pdf["raw"].to_numpy())) @ v.T >= least_cosine
+        leads = np.zeros(len(pdf), dtype=bool)
+        for i in range(len(pdf)):
+            leads[i] = not near[i, :i][leads[:i]].any()
+        return pdf.assign(leads=leads)
+
+    open_, leaders, closed = signed, [], []
+    no = F.lit(False)
     for rounds in itertools.count():
-        rows_left = open_.df.count()
+        rows_left = open_.count()
         if rows_left == 0:
             break
         _check_rounds(rounds, most_rounds)
-        spread = _spread(open_.df)
-        shared = spread.groupBy("band", "code").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        edge = spread.select("band", "code", "id").withColumn("r", F.row_number().over(order)).where(F.col("r") <= head).groupBy("band", "code").agg(F.max("id").alias("last"))
-        held = spread.join(shared.join(edge, ["band", "code"]), ["band", "code"])
-        heads = held.where(F.col("id") <= F.col("last")).select("band", "code", "id", "vec")
-        tested = _by_bucket(heads, ["band", "code"], neighbours, "id long, before boolean, after boolean", rows_left * bands)
-        verdict = tested.groupBy("id").agg(F.max("before").alias("before"), F.max("after").alias("after"), F.count(F.lit(1)).alias("heads"))
-        needed = held.groupBy("id").agg(F.count(F.lit(1)).alias("needed"), F.max(F.col("n") > head).alias("cut"))
-        state = Stage(needed.join(verdict, "id", "left").select("id", F.coalesce("before", F.lit(False)).alias("before"), (F.coalesce("after", F.lit(False)) | F.col("cut")).alias("after"), (F.coalesce("heads", F.lit(0)) < F.col("needed")).alias("unknown")), "state")
-        waiting = Stage(open_.df.join(state.df.where("before or unknown").select("id"), "id"), "waiting")
+        if rounds and rows_left <= head:  # few enough for the rule as it stands; none is near a leader of before
+            settled = Stage(open_.groupBy().applyInPandas(settle, "id long, raw binary, codes array<long>, leads boolean"), "settled").df
+            leaders.append(settled.where("leads").drop("leads"))
+            closed.append(settled.where("not leads").drop("leads"))
+            break
+        heads, places = _heads(open_, rows_left, head)
+        tested = _by_bucket(heads.select("band", "code", "id", "raw"), ["band", "code"], neighbours, "id long, before boolean, after boolean", rows_left * bands)
+        verdict = tested.groupBy("id").agg(F.max("before").alias("before"), F.max("after").alias("after"))
+        if places is None:
+            verdict = verdict.withColumn("unknown", no)
+        else:
+            verdict = verdict.join(places, "id", "full").select("id", F.coalesce("before", no).alias("before"), (F.coalesce("after", no) | F.coalesce("cut", no)).alias("after"), F.coalesce("beyond", no).alias("unknown"))
+        state = Stage(verdict, "state")
+        waiting = Stage(open_.join(state.df.where("before or unknown").select("id"), "id", "left_semi"), "waiting")
         if not leaders:  # while all rows are open, one without any neighbour leads nobody and leaves
-            leading = open_.df.join(state.df.where("not before and not unknown and after").select("id"), "id")
+            leading = open_.join(state.df.where("not before and not unknown and after").select("id"), "id", "left_semi")
         else:  # later on it may yet be the smallest leader of a row that is closed already
-            leading = open_.df.join(waiting.df.select("id"), "id", "left_anti")
+            leading = open_.join(waiting.df.select("id"), "id", "left_anti")
         led = Stage(leading, "leaders")
-        leaders.append(led)
-        near = _nearest_leader(led.df, waiting.df, least_cosine, head, rows_left * bands).select("id")
-        nxt = Stage(waiting.df.join(near, "id", "left_anti"), "open")
-        followers = Stage(waiting.df.join(near, "id"), "closed")
-        closed.append(followers)
-        for done in (open_, waiting, state):
+        leaders.append(led.df)
+        near = Stage(_nearest_leader(led.df, waiting.df, least_cosine, head, bands).select("id"), "near")
+        open_ = Stage(waiting.df.join(near.df, "id", "left_anti"), "open").df
+        closed.append(Stage(waiting.df.join(near.df, "id", "left_semi"), "closed").df)
+        for done in (waiting, state, near):
             done.drop()
-        open_ = nxt
     if not leaders:
         return signed.select("id", F.col("id").alias("similar_to"), F.lit(1.0).alias("cosine")).limit(0)
-    all_led, followers = leaders[0].df, closed[0].df
-    for more, gone in zip(leaders[1:], closed[1:]):
-        all_led, followers = all_led.unionByName(more.df), followers.unionByName(gone.df)
-    final = Stage(_nearest_leader(all_led, followers, least_cosine, head, followers.count() * bands).select("id", F.col("leader").alias("similar_to"), "cosine"), "followers").df
-    joined = copied.join(final.withColumnRenamed("id", "rep"), "rep", "left")
+    every = lambda parts: reduce(DataFrame.unionByName, parts)
+    found = _nearest_leader(every(leaders), every(closed), least_cosine, head, bands)
+    final = Stage(found.select("id", F.col("leader").alias("similar_to"), "cosine"), "followers").df
+    copies = rows.join(classes.where("n > 1").select("vec", "rep"), "vec").where("id <> rep").select("id", "rep")
+    joined = copies.join(final.withColumnRenamed("id", "rep"), "rep", "left")
     return final.unionByName(joined.select("id", F.coalesce("similar_to", "rep").alias("similar_to"), F.coalesce("cosine", F.lit(1.0)).alias("cosine")))
 
 

@@ -138,10 +138,15 @@ def vec_threshold_pairs(t: Tables) -> DataFrame:
     return dedup.near_pairs(t.embeddings, "vec_id", "embedding", 64, 0.35, exact=True).select("a", "b", F.round("cosine", 6).alias("cosine"))
 
 
-@query("dedup_greedy_leader")
+#: The leader rule one vector at a time: ``walk`` carries the leaders so far in a list; a vector near one of them follows
+#: the smallest.
+@query("dedup_greedy_leader", f"""WITH RECURSIVE c AS ({CHUNKS}), near AS (SELECT a.id AS a, b.id AS b, list_cosine_similarity(a.v, b.v) AS cosine FROM c a JOIN c b ON a.id < b.id WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+  nodes AS (SELECT id, coalesce(list(a) FILTER (a IS NOT NULL), []) AS before, row_number() OVER (ORDER BY id) AS n FROM (SELECT b AS id, a FROM near UNION ALL SELECT a, NULL FROM near) GROUP BY id),
+  walk AS (SELECT 0::BIGINT AS n, []::BIGINT[] AS leaders UNION ALL SELECT nodes.n, CASE WHEN list_has_any(before, leaders) THEN leaders ELSE list_append(leaders, id) END FROM walk JOIN nodes ON nodes.n = walk.n + 1),
+  l AS (SELECT unnest(leaders) AS id FROM (SELECT leaders FROM walk ORDER BY n DESC LIMIT 1))
+  SELECT b AS id, min(a) AS similar_to, round((1 + arg_min(cosine, a)) / 2, 6) AS similarity FROM near WHERE a IN (FROM l) AND b NOT IN (FROM l) GROUP BY b""")
 def dedup_greedy_leader(t: Tables) -> DataFrame:
-    """At cosine 0.98 a pair shares a signature of 8 signs with probability 0.6, so 24 of them miss 1e-9 of the pairs."""
-    followers = dedup.greedy_followers(t.ts_wikipedia_en_embed, "id", "vector", 64, 0.98, bits=8)
+    followers = dedup.greedy_followers(t.ts_wikipedia_en_embed, "id", "vector", 64, 0.98)
     return followers.select("id", "similar_to", F.round((1 + F.col("cosine")) / 2, 6).alias("similarity"))
 
 
