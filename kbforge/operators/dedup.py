@@ -42,7 +42,7 @@ def near_pairs(df: DataFrame, key: str, vector: str, dim: int, least_cosine: flo
     """
     rows = df.where(search.usable(F.col(vector), dim)).select(F.col(key).alias("id"), F.col(vector).alias("vec"))
     if exact:
-        return _blocked_pairs(rows, dim, least_cosine)
+        return _blocked_pairs(rows, least_cosine)
     classes = rows.groupBy("vec").agg(F.min("id").alias("id"))
     copies = rows.join(classes.withColumnRenamed("id", "a"), "vec").where("id <> a").select("a", F.col("id").alias("b"), F.lit(1.0).alias("cosine"))
     signs = _signs(dim, bands, bits)
@@ -82,25 +82,21 @@ def near_pairs(df: DataFrame, key: str, vector: str, dim: int, least_cosine: flo
     return found.unionByName(copies)
 
 
-def _blocked_pairs(rows: DataFrame, dim: int, least_cosine: float) -> DataFrame:
-    """All rows against all, block by block: the rows are the query set of a search without a limit of neighbours."""
-    out = None
-    for held in search._blocks(rows.orderBy("id"), search.QUERY_BLOCK):
-        ids, q = np.array([r["id"] for r in held]), np.array([r["vec"] for r in held], dtype=np.float64)
-        q /= np.linalg.norm(q, axis=1, keepdims=True)
-
-        def run(batches: Iterator[pd.DataFrame], ids=ids, q=q) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                v = np.stack(batch["vec"].to_numpy()).astype(np.float64)
-                v /= np.linalg.norm(v, axis=1, keepdims=True)
-                keys = batch["id"].to_numpy()
-                c = q @ v.T
-                a, b = np.nonzero((c >= least_cosine) & (ids[:, None] < keys[None, :]))
-                yield pd.DataFrame({"a": ids[a], "b": keys[b], "cosine": c[a, b]})
-
-        part = rows.mapInPandas(run, "a long, b long, cosine double")
-        out = part if out is None else out.unionByName(part)
-    return rows.sparkSession.createDataFrame([], "a long, b long, cosine double") if out is None else out
+def _blocked_pairs(rows: DataFrame, least_cosine: float, part: int = CELL) -> DataFrame:
+    """All rows against all in a grid of parts. A pair is found in the meeting of its parts that holds the smaller id on
+    the left."""
+
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right = pdf[pdf["left"]], pdf[~pdf["left"]]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": [], "cosine": []})
+        v, w = search.stacked(left["vec"]), search.stacked(right["vec"])
+        c = (v / np.linalg.norm(v, axis=1, keepdims=True)) @ (w / np.linalg.norm(w, axis=1, keepdims=True)).T
+        one, two = left["id"].to_numpy(), right["id"].to_numpy()
+        a, b = np.nonzero((c >= least_cosine) & (one[:, None] < two[None, :]))
+        return pd.DataFrame({"a": one[a], "b": two[b], "cosine": c[a, b]})
+
+    return search.grid(rows, rows, part, part).groupBy("i", "j").applyInPandas(meet, "a long, b long, cosine double")
 
 
 def _check_rounds(done: int, most: int | None) -> None:
