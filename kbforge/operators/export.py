@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import csv
+import hashlib
 import io
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from kbforge.staging import Stage
@@ -38,46 +39,124 @@ def shard_fold(sizes: list[int], start: int, header: int, most: int) -> list[int
     return out
 
 
+class Lines:
+    """The line sizes of one stretch of a table, as sums from its beginning."""
+
+    def __init__(self, sizes: np.ndarray, header: int, most: int):
+        self.sums, self.n, self.header, self.most = np.append(0, np.cumsum(sizes, dtype=np.int64)), len(sizes), header, most
+
+    def fits(self, held: np.ndarray | int) -> np.ndarray:
+        """How many lines still go into a shard that holds ``held`` bytes."""
+        return np.searchsorted(self.sums, self.most - held, side="right") - 1
+
+    def following(self, begins: np.ndarray) -> np.ndarray:
+        """The line with which the shard after the one that begins with each line begins."""
+        return np.maximum(np.searchsorted(self.sums, self.sums[begins] + self.most - self.header, side="right") - 1, begins + 1)
+
+    def chain(self, begin: int) -> list[int]:
+        """The lines with which shards begin, from one on."""
+        out = []
+        while begin < self.n:
+            out.append(begin)
+            begin = int(self.following(np.array([begin]))[0])
+        return out
+
+    def outcomes(self) -> list[tuple[int, int, int]]:
+        """(limit, opened, held): a shard that comes to this stretch with at most ``limit`` bytes, and with more than the
+        next smaller limit, leaves it after so many shards have been opened, the last one holding so much. Shards that
+        begin at different lines soon begin at the same ones, so there are few outcomes; never more than lines in a shard."""
+        most_lines = int(self.fits(self.header))
+        first = np.arange(min(most_lines, self.n - 1) + 1)
+        at, opened, last = first.copy(), np.zeros(len(first), dtype=np.int64), first.copy()
+        while (open_ := at < self.n).any():
+            last[open_], opened[open_] = at[open_], opened[open_] + 1
+            at[open_] = self.following(at[open_])
+        held = self.header + self.sums[self.n] - self.sums[last]
+        new = np.append(True, (opened[1:] != opened[:-1]) | (held[1:] != held[:-1]))
+        out = [(int(self.most - self.sums[i]), int(opened[i]), int(held[i])) for i in first[new]]
+        if most_lines >= self.n:  # all of the stretch goes into the shard that comes
+            out.append((int(self.most - self.sums[self.n]), 0, int(self.sums[self.n])))
+        return out
+
+
 def pack_shards(df: DataFrame, key: str, columns: list[str], most: int = MOST_BYTES) -> DataFrame:
-    """``df`` with ``line``, ``bytes`` and ``shard``: order-preserving greedy shards of at most ``most`` bytes.
+    """``df`` with ``line``, ``bytes`` and ``shard`` (from 0): order-preserving greedy shards of at most ``most`` bytes,
+    as a fold over all rows in order of the key gives them. A line over the limit has a shard for itself.
 
-    The greedy rule is a fold over all rows in order. It runs over line sizes only: a range sort by key gives ordered
-    partitions, and each partition folds for itself and starts a shard of its own, so no task sees more than its
-    partition. Shards are numbered by partition and place; the last shard of a partition may be less than full. A
-    line over the limit has a shard for itself.
+    The fold needs keys and sizes only. They are sorted into ranges and written down; each range tells what becomes of
+    a shard that comes to it with so many bytes, these few outcomes are followed range by range on the driver, and each
+    range then numbers its lines. Repeated keys are one after the other in order of their lines.
     """
     header = len((",".join(columns) + "\r\n").encode())
-    sized = df.withColumn("line", csv_line(*[F.col(c) for c in columns])).withColumn("bytes", F.octet_length("line").cast("long"))
-    ranged = sized.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("part", F.spark_partition_id())
-    schema = T.StructType([*ranged.schema.fields, T.StructField("place", T.LongType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard, held = 0, header
-        for batch in batches:
-            out = []
-            for s in batch["bytes"]:
-                if held + s > most and held > header:
-                    shard, held = shard + 1, header
-                out.append(shard)
-                held += s
-            yield batch.assign(place=out)
-
-    folded = ranged.mapInPandas(run, schema)
-    return folded.withColumn("shard", F.format_string("%05d-%07d", "part", "place"))
+    line = csv_line(*[F.col(c) for c in columns])
+    sized = df.select(F.col(key).alias("key_"), F.xxhash64(line).alias("hash_"), F.octet_length(line).cast("long").alias("bytes"))
+    ranged = Stage(sized.repartitionByRange("key_", "hash_").withColumn("part", F.spark_partition_id()), "sizes").df
+    ranged = ranged.withColumn("place", F.row_number().over(Window.partitionBy("part").orderBy("key_", "hash_")))
+
+    def tell(pdf: pd.DataFrame) -> pd.DataFrame:
+        lines = Lines(pdf.sort_values("place")["bytes"].to_numpy(), header, most)
+        return pd.DataFrame(lines.outcomes(), columns=["limit", "opened", "held"]).assign(part=pdf["part"].iloc[0])
+
+    by_part: dict[int, list] = {}
+    for r in ranged.select("part", "place", "bytes").groupBy("part").applyInPandas(tell, "limit long, opened long, held long, part int").collect():
+        by_part.setdefault(r["part"], []).append((r["limit"], r["opened"], r["held"]))
+    shard, held, begins = -1, most, {}  # as if a full shard came to the first line
+    for part in sorted(by_part):
+        begins[part] = shard, min(held, most)
+        _, opened, left = min((x for x in by_part[part] if x[0] >= min(held, most)), key=lambda x: x[0])
+        shard, held = shard + opened, left if opened else held + left
+
+    def number(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("place", ignore_index=True)
+        start, held = begins[int(pdf["part"].iloc[0])]
+        lines = Lines(pdf["bytes"].to_numpy(), header, most)
+        at = np.array(lines.chain(int(lines.fits(held))), dtype=np.int64)
+        return pdf.assign(shard=start + np.searchsorted(at, np.arange(len(pdf)), side="right"))[["key_", "hash_", "bytes", "shard"]]
+
+    numbered = ranged.groupBy("part").applyInPandas(number, f"key_ {df.schema[key].dataType.simpleString()}, hash_ long, bytes long, shard long")
+    # equal lines of one key may lie in different shards: the first of them in the first, and so on
+    turn = lambda order: F.row_number().over(Window.partitionBy("key_", "hash_").orderBy(order))
+    n = numbered.withColumn("turn_", turn("shard")).alias("n")
+    own = df.withColumn("line", line).withColumns({"hash_": F.xxhash64("line"), "key_": F.col(key)}).withColumn("turn_", turn("hash_")).alias("o")
+    met = own.join(n, (F.col("o.hash_") == F.col("n.hash_")) & F.col("o.key_").eqNullSafe(F.col("n.key_")) & (F.col("o.turn_") == F.col("n.turn_")))
+    return met.select(*[F.col(f"o.{c}") for c in df.columns], "o.line", "n.bytes", "n.shard")
 
 
 def write_shards(df: DataFrame, key: str, columns: list[str], path: str, most: int = MOST_BYTES) -> DataFrame:
-    """CSV shards under ``path``/shard=<name>; returns the manifest."""
+    """CSV shards under ``path``/shard=<number>; returns the manifest."""
     packed = Stage(pack_shards(df, key, columns, most), "shards").df  # written once: file and manifest must agree
-    packed.select("shard", F.regexp_replace("line", "\r\n$", "").alias("value")).write.partitionBy("shard").option("lineSep", "\r\n").text(path)
-    return manifest(packed, key)
+    packed.repartition("shard").sortWithinPartitions("shard", key, "line").select("shard", F.regexp_replace("line", "\r\n$", "").alias("value")).write.partitionBy("shard").option("lineSep", "\r\n").text(path)
+    return manifest(packed, key, columns)
 
 
-def manifest(packed: DataFrame, key: str) -> DataFrame:
-    """(shard, num_rows, bytes, first_key, last_key, checksum) of every shard; the checksum doesn't hang on row order."""
-    return packed.groupBy("shard").agg(
-        F.count(F.lit(1)).alias("num_rows"), F.sum("bytes").alias("bytes"), F.min(key).alias("first_key"), F.max(key).alias("last_key"), F.bit_xor(F.xxhash64("line")).alias("checksum")
-    )
+def manifest(packed: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """(shard, filename, inside, num_rows, bytes, md5, header, first_row, last_row, first_key, last_key) of every shard;
+    bytes and md5 are those of the file with its header. A shard is no larger than its file may be, so one task reads it."""
+    header = ",".join(columns)
+    kind = packed.schema[key].dataType.simpleString()
+    schema = f"shard long, filename string, inside string, num_rows long, bytes long, md5 string, header string, first_row string, last_row string, first_key {kind}, last_key {kind}"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now: dict | None = None
+
+        def done(x: dict) -> tuple:
+            return (x["shard"], f"{x['shard']:08d}.tar.gz", f"{x['shard']:08d}.csv", x["rows"], x["bytes"], x["md5"].hexdigest(), header, x["first"], x["last"], x["first_key"], x["last_key"])
+
+        for batch in batches:
+            out = []
+            for shard, k, line in zip(batch["shard"], batch["key"], batch["line"]):
+                if now is None or now["shard"] != shard:
+                    out += [done(now)] if now else []
+                    top = (header + "\r\n").encode()
+                    now = {"shard": shard, "rows": 0, "bytes": len(top), "md5": hashlib.md5(top), "first": line[:-2], "first_key": k}
+                raw = line.encode()
+                now["md5"].update(raw)
+                now.update(rows=now["rows"] + 1, bytes=now["bytes"] + len(raw), last=line[:-2], last_key=k)
+            yield pd.DataFrame(out, columns=[f.split()[0] for f in schema.split(", ")])
+        if now:
+            yield pd.DataFrame([done(now)], columns=[f.split()[0] for f in schema.split(", ")])
+
+    return packed.select("shard", F.col(key).alias("key"), "line").repartition("shard").sortWithinPartitions("shard", "key", "line").mapInPandas(run, schema)
 
 
 def cumulative_shards(df: DataFrame, size: Column, group: list[str], order: list[str], most: int) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kbforge.operators import packed
-from kbforge.plans import hybrid_queries, registry, table_queries, text_queries, vector_queries  # noqa: F401  (registration)
+from kbforge.plans import hybrid_queries, registry, source_queries, table_queries, text_queries, vector_queries  # noqa: F401  (registration)
 from kbforge.plans.registry import Tables, query
 
 

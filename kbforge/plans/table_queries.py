@@ -232,17 +232,24 @@ _CSV = "(CASE WHEN regexp_matches({c}, '[,\"\\r\\n]') THEN strlen({c}) + 2 + str
 _LINE = " + ".join(_CSV.format(c=c) for c in ("doc_id::VARCHAR", "coalesce(title, '')", "coalesce(text, '')")) + " + 4"
 
 
-@query("pack_shards")
+_FIELD = "CASE WHEN regexp_matches({c}, '[,\"\\r\\n]') THEN '\"' || replace({c}, '\"', '\"\"') || '\"' ELSE {c} END"
+_FIELDS = " || ',' || ".join(_FIELD.format(c=c) for c in ("doc_id::VARCHAR", "coalesce(title, '')", "coalesce(text, '')"))
+_SHARDS = f"""RECURSIVE l AS (SELECT doc_id, line, strlen(line) AS bytes, row_number() OVER (ORDER BY doc_id) AS n FROM (SELECT doc_id, {_FIELDS} || chr(13) || chr(10) AS line FROM documents)),
+  walk AS (SELECT 0::BIGINT AS n, 0::BIGINT AS shard, 19::BIGINT AS held UNION ALL SELECT l.n, CASE WHEN held + bytes > {SHARD_BYTES} AND held > 19 THEN shard + 1 ELSE shard END, CASE WHEN held + bytes > {SHARD_BYTES} AND held > 19 THEN 19 + bytes ELSE held + bytes END
+    FROM walk JOIN l ON l.n = walk.n + 1)"""
+
+
+@query("pack_shards", f"WITH {_SHARDS} SELECT doc_id, bytes, shard FROM l JOIN walk USING (n)")
 def pack_shards(t: Tables) -> DataFrame:
     return export.pack_shards(t.documents, "doc_id", ["doc_id", "title", "text"], SHARD_BYTES).select("doc_id", "bytes", "shard")
 
 
-@query("shard_manifest", f"SELECT count(*) AS num_rows, sum({_LINE})::BIGINT AS bytes, min(doc_id) AS first_id, max(doc_id) AS last_id, true AS within FROM documents")
+@query("shard_manifest", f"""WITH {_SHARDS} SELECT shard, printf('%08d', shard) || '.tar.gz' AS filename, printf('%08d', shard) || '.csv' AS inside, count(*) AS num_rows, (sum(bytes) + 19)::BIGINT AS bytes, md5('doc_id,title,text' || chr(13) || chr(10) || string_agg(line, '' ORDER BY doc_id)) AS md5,
+  'doc_id,title,text' AS header, md5(arg_min(line[:-3], doc_id)) AS first_row, md5(arg_max(line[:-3], doc_id)) AS last_row, min(doc_id) AS first_key, max(doc_id) AS last_key FROM l JOIN walk USING (n) GROUP BY shard""")
 def shard_manifest(t: Tables) -> DataFrame:
-    """The manifest added up: all rows and bytes are there, and no shard of more than one line is over the limit."""
-    shards = export.manifest(export.pack_shards(t.documents, "doc_id", ["doc_id", "title", "text"], SHARD_BYTES), "doc_id")
-    fits = (F.col("bytes") + len("doc_id,title,text\r\n") <= SHARD_BYTES) | (F.col("num_rows") == 1)
-    return shards.agg(F.sum("num_rows").alias("num_rows"), F.sum("bytes").alias("bytes"), F.min("first_key").alias("first_id"), F.max("last_key").alias("last_id"), F.min(fits).alias("within"))
+    columns = ["doc_id", "title", "text"]
+    found = export.manifest(export.pack_shards(t.documents, "doc_id", columns, SHARD_BYTES), "doc_id", columns)
+    return found.withColumns({"first_row": F.md5("first_row"), "last_row": F.md5("last_row")})
 
 
 @query("cumulative_shards", f"SELECT doc_id, floor((sum({_LINE}) OVER (PARTITION BY source ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - ({_LINE})) / {SHARD_BYTES})::BIGINT AS shard FROM documents")

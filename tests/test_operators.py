@@ -1,4 +1,5 @@
 import datetime
+import hashlib
 import inspect
 import json
 import math
@@ -323,10 +324,36 @@ def test_pack_shards(spark, tmp_path):
         held[r["shard"]] += r["bytes"]
     assert len(packed) == len(data) and all(b + 9 <= 200 for s, b in held.items() if sum(p["shard"] == s for p in packed) > 1)
     order = [r["shard"] for r in sorted(packed, key=lambda r: r["id"])]
-    assert order == sorted(order)
+    assert order == sorted(order) == greedy([r["bytes"] for r in sorted(packed, key=lambda r: r["id"])], 9, 200)
     report = export.write_shards(df, "id", ["id", "text"], f"file://{tmp_path}/out", 200)
     assert report.agg(F.sum("num_rows")).first()[0] == len(data)
     assert spark.read.option("lineSep", "\r\n").text(f"file://{tmp_path}/out").count() == len(data)
+    first = report.where("shard = 0").first()
+    body = "id,text\r\n" + "".join(r["line"] for r in sorted(packed, key=lambda r: r["id"]) if r["shard"] == 0)
+    assert first["md5"] == hashlib.md5(body.encode()).hexdigest() and first["bytes"] == len(body.encode()) and first["first_row"] == '0,","' and first["header"] == "id,text"
+
+
+def greedy(sizes, header, most):
+    """The fold as it stands: a line that doesn't fit begins the next shard, unless the shard is empty."""
+    out, shard, held = [], 0, header
+    for s in sizes:
+        if held + s > most and held > header:
+            shard, held = shard + 1, header
+        out.append(shard)
+        held += s
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_shards_over_many_ranges(spark, seed):
+    """One fold over all rows, whatever the ranges; repeated rows, rows without a key and lines over the limit included."""
+    rng = random.Random(seed)
+    data = [(rng.randrange(60), "x" * rng.choice([0, 3, 10, 40, 90, 150])) for _ in range(300)] + [(None, "y")] * 3
+    df = spark.createDataFrame(data, "id long, text string").withColumn("line", F.lit("other"))
+    got = export.pack_shards(df.drop("line"), "id", ["id", "text"], 120).withColumn("h", F.xxhash64("line"))
+    found = sorted(got.collect(), key=lambda r: (r["id"] is not None, r["id"] or 0, r["h"], r["shard"]))
+    assert len(found) == len(data) and [r["shard"] for r in found] == greedy([r["bytes"] for r in found], 9, 120)
+    assert export.pack_shards(df.limit(0), "id", ["id", "text"], 120).count() == 0
 
 
 def test_incremental(spark, tmp_path):
