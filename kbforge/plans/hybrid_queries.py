@@ -15,9 +15,9 @@ TOPIC = "old harbour bridge in the valley"
 
 
 def bm25_sql(table: str, key: str, fields: list[str], queries: list[str]) -> str:
-    """CTE ``b`` (query, key, score)."""
+    """CTE ``b`` (query, key, score). The queries are words in lower case with single blanks between."""
     tok = lambda c: f"list_filter(regexp_split_to_array(lower(coalesce({c}, '')), '[^a-z0-9]+'), lambda x: x <> '')"
-    terms = sorted({x for q in queries for x in bm25.query_terms(q)})
+    terms = sorted({x for q in queries for x in q.split()})
     cols = ", ".join(f"{tok(f)} AS t_{i}" for i, f in enumerate(fields))
     freq = lambda i, t: f"len(list_filter(t_{i}, lambda x: x = '{t}'))"
     stat = ", ".join([f"avg(len(t_{i})) AS a_{i}" for i in range(len(fields))] + [f"sum(({freq(i, t)} > 0)::INT) AS d_{i}_{t}" for i in range(len(fields)) for t in terms])
@@ -26,7 +26,7 @@ def bm25_sql(table: str, key: str, fields: list[str], queries: list[str]) -> str
         tf = freq(i, t)
         return f"CASE WHEN {tf} > 0 THEN ln(1 + (n - d_{i}_{t} + 0.5) / (d_{i}_{t} + 0.5)) * {tf} * 2.2 / ({tf} + 1.2 * (0.25 + 0.75 * len(t_{i}) / a_{i})) ELSE 0 END"
 
-    union = " UNION ALL ".join(f"SELECT {n}::BIGINT AS query, {key}, round({' + '.join(part(i, t) for i in range(len(fields)) for t in bm25.query_terms(q))}, 6)::DOUBLE AS score FROM tk, st" for n, q in enumerate(queries))
+    union = " UNION ALL ".join(f"SELECT {n}::BIGINT AS query, {key}, round({' + '.join(part(i, t) for i in range(len(fields)) for t in q.split())}, 6)::DOUBLE AS score FROM tk, st" for n, q in enumerate(queries))
     return f"tk AS (SELECT {key}, {cols} FROM {table}), st AS (SELECT count(*) AS n, {stat} FROM tk), b AS (SELECT * FROM ({union}) WHERE score > 0)"
 
 
@@ -102,8 +102,8 @@ def hybrid_rank_fallback(t: Tables) -> DataFrame:
     return hybrid.retrieve(t.ts_wikipedia_en_embed, _queries(t), KEYWORDS, hybrid.API).select(*_OUT)
 
 
-_WORDS = bm25.query_terms(TOPIC)
-_OVERLAP = "round(len(list_filter({w}, lambda y: list_contains(regexp_split_to_array(lower(substr(text, 1, 4096)), '[^a-z0-9]+'), y))) / {n}, 6)".format(w=_WORDS, n=float(len(_WORDS)))
+_TOPIC = ["old", "harbour", "bridge", "in", "the", "valley"]
+_OVERLAP = "round(len(list_filter({w}, lambda y: list_contains(regexp_split_to_array(lower(substr(text, 1, 4096)), '[^a-z0-9]+'), y))) / {n}, 6)".format(w=_TOPIC, n=float(len(_TOPIC)))
 
 
 @query("hybrid_fusion_cli", f"WITH {_merge_first(hybrid.CLI)} {_TAIL.format(r=_OVERLAP, n=hybrid.CLI.results)}")
@@ -144,6 +144,16 @@ def sentence_split(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.posexplode(texts.sentences(F.col("text"))).alias("place", "sentence"))
 
 
-@query("chunk_text")
+#: Two folds: the words of a long sentence into pieces, apart by one private character, and the pieces into chunks, apart
+#: by another. The first piece of a chunk is the last one of the chunk before.
+_WORDS = r"regexp_extract_all(x, '[^\p{Z}\t\n\x0b\f\r\x1c-\x1f\x{85}]+')"
+_CUT = f"""CASE WHEN length(x) <= 682 THEN [x] WHEN len({_WORDS}) = 0 THEN []
+    ELSE string_split(list_reduce({_WORDS}, lambda acc, w: CASE WHEN length(string_split(acc, chr(57344))[-1]) + length(w) + 1 < 682 THEN acc || ' ' || w ELSE acc || chr(57344) || w END), chr(57344)) END"""
+_FOLD = """list_reduce(p, lambda acc, x: CASE WHEN length(string_split(acc, chr(57345))[-1]) + length(x) < 2048 THEN acc || chr(57344) || x
+    ELSE acc || chr(57345) || regexp_extract(acc, '[^' || chr(57344) || chr(57345) || ']*$') || chr(57344) || x END)"""
+
+
+@query("chunk_text", f"""WITH p AS (SELECT doc_id, flatten(list_transform({_SENTENCES.format(c='text')}, lambda x: {_CUT})) AS p FROM documents WHERE trim(text) <> ''),
+  c AS (SELECT doc_id, string_split(replace({_FOLD}, chr(57344), ' '), chr(57345)) AS c FROM p WHERE len(p) > 0) SELECT doc_id, unnest(range(0, len(c))) AS chunk_index, unnest(c) AS chunk_text FROM c""")
 def chunk_text(t: Tables) -> DataFrame:
     return texts.chunk_documents(t.documents, "doc_id", "text")
