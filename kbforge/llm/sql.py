@@ -1,7 +1,22 @@
 """DuckDB SQL of the training-data queries that SQL can express."""
 
-from kbforge.llm.quality import COMMON
-from kbforge.llm.survivor import CAMERA_NAME, FILE_NAME, NO_CAPTION
+#: Fixed values, written out here so that a mistake in an operator's list shows: wordings for no caption, names of files,
+#: and common words.
+_ABSENT = (
+    r"none|null|nil|nan|na|n a|n/a|unknown|undefined|missing|empty|blank|tbd|todo|image|photo|picture|placeholder|caption|title|description|untitled"
+    r"|(untitled|unnamed|unknown|no)( \w+)? (image|photo|photograph|picture|file|caption|description|title|text|alt text|name)( available| provided| given| found| here)?"
+    r"|no (caption|description|title|text|information)( is)?( available| provided| given| found)?"
+    r"|(caption|description|title)( is)? (not available|unavailable|missing|none|empty)|not available|not provided|without (caption|title|description)"
+)
+_FILE = r"^[^\s/]*\.(jpe?g|jpe|png|tiff?|gif|webp|bmp|svg|heic|raw|nef|cr2|dng|jp2|psd|pdf)$"
+_CAMERA = r"^(img|dsc[nf]?|scan|image|photo|pict?|p|dji|gopr|pxl)[_ -]?\d{2,}([_-]\d+)*$"
+_WORDS = (
+    "the of and to in a is was that for it as with on by at from their its this these those be were are which or an not but had has have each one another after before under over between near along until into during so because while if when where who they he she we you his her our all there than then also about above behind beyond beside within across through around against "
+    "der die das den dem des und ist war ein eine einen einem einer nicht mit von zu im in an auf für aus nach bei bis seit trotz während zwischen unter über wie noch aber obwohl weil davon keine wird wurde sich auch als so oder "
+    "le la les l de des du d un une et est était que qui dans en sur pour par avec au aux ne pas ce cette ces se sa son ses mais parce comme depuis pendant après sous entre malgré jusqu à nos bien "
+    "el la los las de del un una y es era que en por para con no se su sus al como pero porque desde durante después bajo entre hasta aunque todavía más lo a ante sobre "
+    "и в во не на что с со он она они как это по к ко но из у за от до для при между после под над о об так же или который была был были хотя потому без несмотря "
+)
 
 _FLAT = r"lower(trim(regexp_replace(caption, '[\s ]+', ' ', 'g')))"
 
@@ -18,7 +33,7 @@ names AS (SELECT id, lower(regexp_replace(s, '^[\s ]+|[\s ]+$', '', 'g')) AS s F
 trusts AS (SELECT n.id, max(t.trust) AS trust FROM names n JOIN source_trust t ON n.s = lower(trim(t.source)) GROUP BY n.id),
 scored AS (SELECT k.*, coalesce(t.trust, 0) AS trust,
     w BETWEEN 1 AND 100000 AND h BETWEEN 1 AND 100000 AS fits,
-    coalesce(bare <> '' AND NOT regexp_full_match(bare, '{NO_CAPTION}') AND NOT regexp_matches(flat, '{FILE_NAME}') AND NOT regexp_matches(flat, '{CAMERA_NAME}'), false) AS says
+    coalesce(bare <> '' AND NOT regexp_full_match(bare, '{_ABSENT}') AND NOT regexp_matches(flat, '{_FILE}') AND NOT regexp_matches(flat, '{_CAMERA}'), false) AS says
   FROM kept k LEFT JOIN trusts t USING (id)),
 sizes AS (SELECT k, id, row_number() OVER (PARTITION BY k ORDER BY w * h DESC, updated_at DESC NULLS LAST, id) AS r FROM scored WHERE fits),
 captions AS (SELECT k, id, row_number() OVER (PARTITION BY k ORDER BY trust DESC, updated_at DESC NULLS LAST, id) AS r FROM scored WHERE says)
@@ -46,7 +61,7 @@ SELECT sum(ceil((strlen(text) + 1) / 4096.0))::BIGINT AS pieces, sum(strlen(text
 FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL
 """
 
-_COMMON = ", ".join(f"'{w}'" for w in sorted({w for ws in COMMON.values() for w in ws.split()}))
+_COMMON = ", ".join(f"'{w}'" for w in sorted(set(_WORDS.split())))
 
 P9_STATISTICS = rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),

@@ -3,7 +3,9 @@
 Each field's rows vote with source trust times recency decay. A field's rule says what comes first:
 ``votes`` (the value with most votes wins, its best record speaks for it) or ``rank`` (a score of the record decides
 and votes play no part). Ties always go to the later update time (null is earliest), then to the smaller id.
-Everything is a partial aggregate, so a group that holds a third of all rows is combined before it is shuffled.
+Everything is a partial aggregate, so a group that holds a third of all rows is combined before it is shuffled. Long
+values aren't carried along: a caption travels as its record's id, its votes under a hash, and its text is fetched for
+the winners.
 
 Defined results: rows without a usable key are in no group; a field for which no record qualifies is null; an empty
 table gives an empty result; the same record twice changes nothing but ``n_records``.
@@ -116,13 +118,14 @@ def best_representative(records: DataFrame, group: Column, fields: list[Field],
 
 
 def image_records(images: DataFrame, trust: DataFrame) -> DataFrame:
-    """One surviving record per group of images that share a hash: best size, best caption, voted licence and origin."""
+    """One surviving record per group of images that share a hash: best size, the id of the record with the best caption,
+    voted licence and origin."""
     w, h = F.col("origin_width"), F.col("origin_height")
     fits = w.between(1, 100_000) & h.between(1, 100_000)
     caption, licence, origin = squeeze(F.col("caption")), squeeze(F.col("license")), normal_source(F.col("origin_source"))
     fields = [
         Field("size", F.struct("id", "origin_width", "origin_height"), F.when(fits, F.concat_ws("x", w, h)), w * h),
-        Field("caption", F.struct("id", caption.alias("text")), F.when(says_something(F.col("caption")), F.lower(caption)), F.col("trust")),
+        Field("caption", F.struct("id"), F.when(says_something(F.col("caption")), F.xxhash64(F.lower(caption))), F.col("trust")),
         Field("license", F.struct("id", licence.alias("text")), F.when(licence != "", F.lower(licence)), F.col("trust"), "votes"),
         Field("origin_source", F.struct("id", origin.alias("text")), F.when(origin != "", origin), F.col("trust"), "votes"),
     ]
@@ -139,7 +142,10 @@ def group_sources(images: DataFrame) -> DataFrame:
 
 
 def survivors(images: DataFrame, trust: DataFrame) -> DataFrame:
-    """The surviving records with every source of their group."""
-    return image_records(images, trust).join(group_sources(images), "group_key", "left")
+    """The surviving records with the text of their caption and every source of their group."""
+    texts = images.groupBy(F.col("id").alias("c_")).agg(F.max(squeeze(F.col("caption"))).alias("text"))  # repeated records are one
+    won = image_records(images, trust).withColumn("c_", F.col("caption.id"))
+    named = won.join(texts, "c_", "left").withColumn("caption", F.when(F.col("c_").isNotNull(), F.struct(F.col("c_").alias("id"), "text"))).drop("c_", "text")
+    return named.join(group_sources(images), "group_key", "left")
 
 

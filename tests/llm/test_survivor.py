@@ -78,6 +78,9 @@ def test_votes_and_sources(spark):
     trust = spark.createDataFrame([("pd", 3), ("web", 3), ("survey", 5)], "source string, trust long")
     r = survivor.survivors(df, trust).first()
     assert r["license"]["text"].lower() == "cc0" and r["sources"] == ["pd", "survey", "web"] and r["n_records"] == 3
+    assert (r["caption"]["id"], r["caption"]["text"]) == (3, "View")
+    twice = survivor.survivors(df.unionByName(df), trust).collect()
+    assert [(x["n_records"], x["caption"]["text"]) for x in twice] == [(6, "View")]
     survivor.MOST_SOURCES, kept = 1, survivor.MOST_SOURCES
     try:
         assert survivor.survivors(df, trust).first()["license"]["text"].lower() == "cc0"  # by join where the table is large
