@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from kbforge import service
 from kbforge.functions import vectors as V
 from kbforge.operators import pipeline, search, tables
+from kbforge.operators.store import Store, parse_config
 from kbforge.plans.registry import Tables, query
 from kbforge.plans.vector_queries import IMAGES, first_vector
+from kbforge.providers import Encoder, LetterEmbedder, OverlapReranker, pooled, rerank_scores
 from kbforge.sources import mappers, readers
 from kbforge.staging import shared_dir
 
@@ -241,3 +243,52 @@ def column_list(t: Tables) -> DataFrame:
     """Distinct entries of a list, in their order."""
     once = F.array_distinct(F.filter("source", lambda x: x.isNotNull()))
     return t.is_pd12m.select("id", (F.array_join(once, "|").isNotNull() | F.col("source").isNull()).alias("known"), F.size(once).alias("n")).withColumn("n", F.when(F.col("n") >= 0, F.col("n")))
+
+
+_LETTERS = "[" + ", ".join(f"length(t) - length(replace(t, '{x}', ''))" for x in "abcdefghijklmnopqrstuvwxyz") + "]::DOUBLE[]"
+_UNIT = "list_transform(c, lambda x: x / greatest(sqrt(list_sum(list_transform(c, lambda y: y * y))), 1e-12))"
+
+
+@query("embed_step", f"""SELECT id, round(v[1], 5) AS first, round(v[5], 5) AS fifth, round(sqrt(list_sum(list_transform(v, lambda x: x * x))), 5) AS norm
+  FROM (SELECT id, {_UNIT} AS v FROM (SELECT id, {_LETTERS} AS c FROM (SELECT id, lower(chunk_text) AS t FROM ts_wikipedia_en_embed WHERE vector IS NULL AND chunk_text IS NOT NULL)))""")
+def embed_step(t: Tables) -> DataFrame:
+    """The chunks without a vector get one."""
+    made = pipeline.embed_chunks(t.ts_wikipedia_en_embed.where("chunk_text is not null"), LetterEmbedder())
+    v = F.col("vector")
+    return made.select("id", F.round(F.element_at(v, 1).cast("double"), 5).alias("first"), F.round(F.element_at(v, 5).cast("double"), 5).alias("fifth"), F.round(V.norm(v), 5).alias("norm"))
+
+
+@query("encode_codes", f"""SELECT doc_id, array_to_string(list_transform(v, lambda x: round_even(greatest(0.0, least(0.6, 0.3 + x)) / (0.6 / 255), 0)::INTEGER), ',') AS codes
+  FROM (SELECT doc_id, {_UNIT} AS v FROM (SELECT doc_id, {_LETTERS} AS c FROM (SELECT doc_id, lower(title) AS t FROM documents WHERE title IS NOT NULL)))""")
+def encode_codes(t: Tables) -> DataFrame:
+    """Titles as codes of 8 bits, from batches of texts."""
+    encoded = Encoder(LetterEmbedder(), bits=8).embed(t.documents.where("title is not null").select(F.col("doc_id").alias("id"), F.col("title").alias("text")))
+    return encoded.select(F.col("id").alias("doc_id"), F.array_join(F.col("vector").cast("array<string>"), ",").alias("codes"))
+
+
+@query("rerank_batches", """SELECT id, round(len(list_filter(['old', 'harbour', 'bridge'], lambda y: list_contains(regexp_split_to_array(lower(substr(coalesce(chunk_text, ''), 1, 4096)), '[^a-z0-9]+'), y))) / 3.0, 6) AS rank_score FROM ts_wikipedia_en_embed""")
+def rerank_batches(t: Tables) -> DataFrame:
+    found = rerank_scores(t.ts_wikipedia_en_embed, "id", "chunk_text", "old harbour bridge", OverlapReranker())
+    return found.select("id", F.round("rank_score", 6).alias("rank_score"))
+
+
+@query("pooled_spans", """SELECT id, round(list_sum(vector[1:4]::DOUBLE[]) / 4, 5) AS first, round(list_sum(vector[6:20]::DOUBLE[]) / 15, 5) AS second, round(list_sum(vector[41:59]::DOUBLE[]) / 19, 5) AS last, 3 AS n FROM ts_wikipedia_en_embed WHERE len(vector) = 64""")
+def pooled_spans(t: Tables) -> DataFrame:
+    """A vector's elements as vectors of tokens: the means of four spans, of which one is cut and one lies beyond."""
+    rows = t.ts_wikipedia_en_embed.where("size(vector) = 64").select("id", F.transform("vector", lambda x: F.array(x)).alias("tokens"))
+    spans = F.array(*[F.struct(F.lit(a).alias("start"), F.lit(b).alias("end")) for a, b in ((0, 4), (5, 20), (40, 64), (59, 64))])
+    means = rows.select("id", pooled(F.col("tokens"), spans, 60).alias("m"))
+    one = lambda i: F.round(F.element_at(F.element_at("m", i), 1), 5)
+    return means.select("id", one(1).alias("first"), one(2).alias("second"), one(-1).alias("last"), F.size("m").alias("n"))
+
+
+@query("writable_store", """SELECT min(doc_id::VARCHAR) AS doc_id, sha256(text) AS hash, 26::INTEGER AS n FROM documents WHERE text <> '' GROUP BY sha256(text)""")
+def writable_store(t: Tables) -> DataFrame:
+    """The documents added to a store, twice, and embedded: each text once, under its smallest id."""
+    config = parse_config({"database_file": _path(t, "store"), "database_writable": True, "meta_table": {"name": "meta", "id_column": "id", "text_column": "chunk_text"}, "embedding_table": {"name": "emb", "id_column": "id", "embedding_column": "vector", "emb_model": "letters"}})
+    held = Store(t.spark, config, LetterEmbedder())
+    texts = t.documents.where("text <> ''").select(F.col("doc_id").cast("string").alias("doc_id"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("meta"), F.array("source").alias("tags"), F.col("text").alias("chunk_text"))
+    held.add(texts)
+    held.add(texts)
+    held.process_pending()
+    return held.meta.read().join(held.vectors.read(), "id").select("doc_id", "hash", F.size("vector").alias("n"))

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kbforge.functions import vectors as V
+
 
 class Embedder(Protocol):
     def embed_texts(self, texts: list[str], task: str = "") -> list[list[float]]: ...
@@ -20,6 +22,94 @@ class Embedder(Protocol):
     def embed(self, rows: DataFrame, task: str = "") -> DataFrame: ...
 
 
+class Reranker(Protocol):
+    def score(self, topic: str, texts: list[str]) -> list[float]: ...
+
+
+class OverlapReranker:
+    """The share of the topic's words (runs of ASCII letters and digits) that a text holds."""
+
+    def score(self, topic: str, texts: list[str]) -> list[float]:
+        words = set(re.findall("[a-z0-9]+", topic.lower()))
+        return [len(words & set(re.findall("[a-z0-9]+", t.lower()))) / max(1, len(words)) for t in texts]
+
+
+def rerank_scores(rows: DataFrame, key: str, text: str, topic: str, reranker: Reranker, most_chars: int = 4096, batch: int = 64) -> DataFrame:
+    """(key, rank_score) of every row: texts, cut to ``most_chars`` characters as the model takes them, are scored in
+    batches. A batch that fails, or gives another number of scores than it was given texts, counts as zeros."""
+    kind = rows.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            scores: list[float] = []
+            for i in range(0, len(frame), batch):
+                part = [t or "" for t in frame["t_"][i : i + batch]]
+                try:
+                    found = [float(x) for x in reranker.score(topic, part)]
+                except Exception:
+                    found = []
+                scores += found if len(found) == len(part) else [0.0] * len(part)
+            yield pd.DataFrame({key: frame["k_"], "rank_score": scores})
+
+    return rows.select(F.col(key).alias("k_"), F.substring(text, 1, most_chars).alias("t_")).mapInPandas(run, f"{key} {kind}, rank_score double")
+
+
+class Encoder:
+    """An embedder with the form of its vectors: cut to the first ``dims`` elements at unit length, and quantised to 8 or
+    4 bits. Texts are embedded in batches; a batch with a wrong number of vectors is an error of the model, and each of
+    its rows is tried alone. A row that fails, or whose vector has another length than the first one's, gets null."""
+
+    def __init__(self, embedder: Embedder, dims: int | None = None, bits: int | None = None, batch: int = 64):
+        if bits not in (None, 4, 8):
+            raise ValueError("vectors are quantised to 4 or 8 bits")
+        self.embedder, self.dims, self.bits, self.batch = embedder, dims, bits, batch
+
+    def embed_texts(self, texts: list[str], task: str = "") -> list[list[float]]:
+        found = self.embedder.embed_texts(texts, task)
+        if len(found) != len(texts):
+            raise ValueError(f"{len(texts)} texts gave {len(found)} vectors")
+        return found
+
+    def _tried(self, texts: list[str], task: str) -> list[list[float] | None]:
+        try:
+            return list(self.embed_texts(texts, task))
+        except Exception:
+            return [None] if len(texts) == 1 else [v for t in texts for v in self._tried([t], task)]
+
+    def embed(self, rows: DataFrame, task: str = "") -> DataFrame:
+        """(id, vector) of (id, text); codes take the place of the vector where they are asked for."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            length = None
+            for frame in batches:
+                out: list = []
+                for i in range(0, len(frame), self.batch):
+                    part = frame["text"][i : i + self.batch].tolist()
+                    known = iter(self._tried([t for t in part if t is not None], task) if any(t is not None for t in part) else [])
+                    out += [None if t is None else next(known) for t in part]
+                length = length or next((len(v) for v in out if v is not None), None)
+                yield pd.DataFrame({"id": frame["id"], "vector": [v if v is None or len(v) == length else None for v in out]})
+
+        made = rows.select("id", "text").mapInPandas(run, "id long, vector array<double>")
+        vector = V.mrl(F.col("vector"), self.dims)
+        vector = {None: vector, 8: V.quantise8(vector), 4: V.quantise4(vector)}[self.bits]
+        return made.select("id", vector.alias("vector"))
+
+
+class LetterEmbedder:
+    """How often each of ``letters`` stands in the lower-cased text, at unit length."""
+
+    def __init__(self, letters: str = "abcdefghijklmnopqrstuvwxyz"):
+        self.letters = letters
+
+    def embed_texts(self, texts: list[str], task: str = "") -> list[list[float]]:
+        counts = np.array([[t.lower().count(x) for x in self.letters] for t in texts], dtype=np.float64).reshape(len(texts), len(self.letters))
+        return (counts / np.maximum(np.linalg.norm(counts, axis=1, keepdims=True), 1e-12)).tolist()
+
+    def embed(self, rows: DataFrame, task: str = "") -> DataFrame:
+        return Encoder(self).embed(rows, task).withColumn("vector", F.col("vector").cast("array<float>"))
+
+
 class HashEmbedder:
     """Signed hashing of words into ``dim`` buckets, at unit length. A text without a word is the zero vector."""
 

@@ -366,6 +366,30 @@ def test_incremental(spark, tmp_path):
     assert go() == 5 and sink.read().count() == 30
 
 
+def test_encoder_and_reranker_survive_failures(spark):
+    from kbforge.providers import Encoder, rerank_scores
+
+    class Moody:
+        """A model that fails on some texts and loses a vector of some batches."""
+
+        def embed_texts(self, texts, task=""):
+            if any("bad" in t for t in texts):
+                raise OSError("no")
+            return [[float(len(t)), 1.0] for t in texts if "lost" not in t]
+
+        def score(self, topic, texts):
+            return self.embed_texts(texts) and [float(len(t)) for t in texts]
+
+    rows = spark.createDataFrame([(1, "one"), (2, "bad"), (3, None), (4, "lost"), (5, "")], "id long, text string").coalesce(1)
+    found = {r["id"]: r["vector"] for r in Encoder(Moody(), batch=3).embed(rows).collect()}
+    assert found == {1: [3.0, 1.0], 2: None, 3: None, 4: None, 5: [0.0, 1.0]}
+    scores = {r["id"]: r["rank_score"] for r in rerank_scores(rows, "id", "text", "t", Moody(), batch=2).collect()}
+    assert scores == {1: 0.0, 2: 0.0, 3: 0.0, 4: 4.0, 5: 0.0}
+    assert rerank_scores(rows.limit(0), "id", "text", "t", Moody()).count() == 0 and Encoder(Moody(), bits=4).embed(rows.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        Encoder(Moody(), bits=5)
+
+
 def test_providers(spark):
     assert expand_query("t") == {"sentences": ["t"], "keywords": ["t"]}
     assert expand_query("t", lambda _: {"keywords": ["a", "a", "b", "c", "d"]})["keywords"] == ["a", "b", "c"]
