@@ -1,15 +1,19 @@
 """Keyed tables without a transactional format: inserts that ignore known keys, updates, truncation, reports.
 
-A table is a folder of versions; a write makes a new version beside the old one and then moves the pointer, so nothing
-is read and overwritten at once and a lost executor leaves the old version whole.
+A table is a folder of parts and of numbered manifests that list them. A write puts a part beside the others and then
+the next manifest, so nothing is read and overwritten at once and a lost executor leaves the table whole. An insert
+costs what it adds, an update the parts that hold a changed row. The next number can be taken once: of two writers at
+once one is first and the other begins again with what it finds then. (The file system must make a file only if it
+isn't there, as HDFS and local ones do.)
 """
 
 from __future__ import annotations
 
-import time
+import json
 import uuid
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,39 +72,90 @@ class Table:
     def __init__(self, spark: SparkSession, folder: str, schema: T.StructType, keys: list[str]):
         self.spark, self.folder, self.schema, self.keys = spark, folder.rstrip("/"), schema, keys
 
-    def _fs(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def _at(self, name: str = ""):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def _versions(self) -> list[str]:
-        path, fs = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder), self._fs()
-        if not fs.exists(path):
-            return []
-        done = lambda s: fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{s}/_SUCCESS"))
-        return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(path)) if n.startswith("v-") and done(n))
+    def _drop(self, name: str) -> None:
+        fs, path = self._at(name)
+        fs.delete(path, True)
+
+    def _manifests(self) -> list[str]:
+        fs, path = self._at()
+        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        return sorted(n for n in names if n.startswith("m-") and n.endswith(".json"))
+
+    def _parts(self, manifest: str) -> list[str]:
+        return json.loads(self.spark.read.text(f"{self.folder}/{manifest}", wholetext=True).first()[0])
+
+    def _latest(self) -> tuple[int, list[str]]:
+        names = self._manifests()
+        return (int(names[-1][2:-5]), self._parts(names[-1])) if names else (0, [])
+
+    def _put(self, df: DataFrame) -> str:
+        name = f"d-{uuid.uuid4().hex}"
+        df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]).write.parquet(f"{self.folder}/{name}")
+        return name
+
+    def _commit(self, after: int, parts: list[str]) -> bool:
+        """The manifest next to ``after``; False if another writer was first. The last two manifests and their parts
+        are kept, so that a reader of the one before ends undisturbed."""
+        fs, path = self._at(f"m-{after + 1:020d}.json")
+        try:
+            out = fs.create(path, False)
+        except Py4JJavaError as error:
+            if not fs.exists(path):
+                raise error
+            return False
+        out.write(bytearray(json.dumps(parts).encode()))
+        out.close()
+        *old, before = self._manifests()[:-1] or [None]
+        kept = {*parts, *(self._parts(before) if before else ())}
+        for name in old:
+            for part in set(self._parts(name)) - kept:
+                self._drop(part)
+            self._drop(name)
+        return True
+
+    def _read(self, parts: list[str]) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.folder}/{p}" for p in parts]) if parts else self.spark.createDataFrame([], self.schema)
 
     def read(self) -> DataFrame:
-        names = self._versions()
-        return self.spark.read.schema(self.schema).parquet(f"{self.folder}/{names[-1]}") if names else self.spark.createDataFrame([], self.schema)
+        return self._read(self._latest()[1])
 
     def write(self, df: DataFrame) -> None:
-        """A new version; the two latest are kept, so that a reader of the last one ends undisturbed."""
-        name = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]).write.parquet(f"{self.folder}/{name}")
-        for old in self._versions()[:-2]:
-            self._fs().delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{old}"), True)
+        """The whole table anew."""
+        part = self._put(df)
+        while not self._commit(self._latest()[0], [part]):
+            pass
 
     def insert(self, batch: DataFrame, order: list[str] | None = None) -> int:
         """Append what isn't there yet; the number of rows added."""
-        old = self.read()
-        fresh = insert_ignore(old, batch, self.keys, order)
-        added = fresh.count()
-        if added:
-            self.write(old.unionByName(fresh))
-        return added
+        while True:
+            number, parts = self._latest()
+            part = self._put(insert_ignore(self._read(parts), batch, self.keys, order))
+            added = self._read([part]).count()
+            if added and self._commit(number, [*parts, part]):
+                return added
+            self._drop(part)
+            if not added:
+                return 0
 
     def update(self, changes: DataFrame, key: str = "id") -> None:
-        self.write(update_by_id(self.read(), changes, key))
+        """Change rows by key; parts without such a row stay as they are."""
+        while True:
+            number, parts = self._latest()
+            if not parts:
+                return
+            at = F.regexp_extract("_metadata.file_path", "/(d-[0-9a-f]{32})/", 1).alias("part_")
+            rows = self._read(parts).select(key, at).join(changes.select(key), key, "left_semi")
+            touched = sorted(r["part_"] for r in rows.select("part_").distinct().collect())  # names of parts, as many as there are
+            if not touched:
+                return
+            part = self._put(update_by_id(self._read(touched), changes, key))
+            if self._commit(number, [*(p for p in parts if p not in touched), part]):
+                return
+            self._drop(part)
 
     def truncate(self, force: bool = False) -> None:
         if not force:

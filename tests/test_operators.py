@@ -88,6 +88,8 @@ def test_greedy_leaders(spark):
         edges = {tuple(sorted(rng.sample(range(n), 2))) for _ in range(m)}
         df = spark.createDataFrame([(a, b, 1.0) for a, b in edges], "a long, b long, cosine double")
         assert {r["id"]: r["similar_to"] for r in dedup.greedy_leaders(df).collect()} == sequential_leaders(n, edges)
+        for settle in (0, 20):  # by rounds alone, and by rounds until few pairs are open
+            assert {r["id"]: r["similar_to"] for r in dedup.greedy_leaders(df, settle=settle).collect()} == sequential_leaders(n, edges)
     assert dedup.greedy_leaders(df.limit(0)).count() == 0
 
 
@@ -256,6 +258,36 @@ def test_table(spark, tmp_path):
     assert t.read().count() == 0
 
 
+def test_table_appends(spark, tmp_path):
+    """An insert leaves the parts that are there, an update rewrites only those it touches, old ones go, and the second
+    of two writers begins again."""
+    t = tables.Table(spark, f"file://{tmp_path}/t", spark.createDataFrame([], "id long, url string").schema, ["id"])
+    rows_ = lambda *ids: spark.createDataFrame([(i, f"u{i}") for i in ids], "id long, url string")
+    assert t.insert(rows_(1, 2)) == 2 and t.insert(rows_(2, 3)) == 1 and t.insert(rows_(4)) == 1
+    before = t._latest()[1]
+    t.update(spark.createDataFrame([(3, "x")], "id long, url string"))
+    after = t._latest()[1]
+    assert len(before) == len(after) == 3 and len(set(before) & set(after)) == 2
+    assert sorted(map(tuple, t.read().collect())) == [(1, "u1"), (2, "u2"), (3, "x"), (4, "u4")]
+    t.update(spark.createDataFrame([(9, "x")], "id long, url string"))
+    assert t._latest()[1] == after
+    other = tables.Table(spark, t.folder, t.schema, ["id"])
+    number, parts = t._latest()
+    taken, commit = [], other._commit
+
+    def late(n, p):  # another writer is first, once
+        if not taken:
+            taken.append(t.insert(rows_(5, 6)))
+        return commit(n, p)
+
+    other._commit = late
+    assert other.insert(rows_(6, 7)) == 1 and taken == [2]
+    assert sorted(r["id"] for r in t.read().collect()) == [1, 2, 3, 4, 5, 6, 7]
+    t.compact()
+    t.compact()
+    assert len([n for n in (tmp_path / "t").iterdir() if n.name.startswith("d-")]) == 2 and t.read().count() == 7
+
+
 def test_live_workers(spark):
     beats = spark.sql("select * from values (1, 'A', timestamp'2024-01-01 00:00:00'), (1, 'A', timestamp'2024-01-01 00:10:00'), (2, 'A', timestamp'2024-01-01 00:07:00'), (3, 'A', timestamp'2024-01-01 00:06:59'), (5, 'B', timestamp'2024-01-01 00:09:00'), (null, 'A', timestamp'2024-01-01 00:10:00') as t(worker, workflow, ts)")
     got = tables.live_workers(beats, F.lit("2024-01-01 00:10:00").cast("timestamp"), 180)
