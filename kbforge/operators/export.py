@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kbforge.staging import Stage
+from kbforge.staging import Stage, broadcast_if_small
 
 MOST_BYTES = 1_000_000_000
+#: Groups in ranges up to which their sums are broadcast; beyond it the join shuffles.
+MOST_GROUPS = 100_000
 
 
 def csv_line(*columns: Column) -> Column:
@@ -160,9 +162,19 @@ def manifest(packed: DataFrame, key: str, columns: list[str]) -> DataFrame:
 
 
 def cumulative_shards(df: DataFrame, size: Column, group: list[str], order: list[str], most: int) -> DataFrame:
-    """``df`` with ``shard`` = running size / ``most`` within its group, a window where the exact fold isn't needed."""
-    w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn("shard", F.floor((F.sum(size).over(w) - size) / most).cast("long"))
+    """``df`` with ``shard`` = running size / ``most`` within its group, for where the exact fold isn't needed.
+
+    The rows are sorted into ranges, which are written down; each range adds up its groups, and a row's running size is
+    that of the ranges before it plus that within its own. So a group that holds most rows is spread over ranges.
+    """
+    held = df.withColumns({"size_": size.cast("long"), "group_": F.to_json(F.struct(*group), {"ignoreNullFields": "false"})})
+    ranged = Stage(held.repartitionByRange(*[F.col(c) for c in (*group, *order)]).withColumn("part_", F.spark_partition_id()), "ranged").df
+    sums = ranged.groupBy("group_", "part_").agg(F.sum("size_").alias("s_"))
+    earlier = Window.partitionBy("group_").orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as ranges
+    before = Stage(sums.select("group_", "part_", F.coalesce(F.sum("s_").over(earlier), F.lit(0)).alias("before_")), "before").df
+    within = F.sum("size_").over(Window.partitionBy("part_", "group_").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    joined = ranged.withColumn("within_", within).join(broadcast_if_small(before, MOST_GROUPS), ["group_", "part_"])
+    return joined.select(*df.columns, F.floor((F.col("before_") + F.col("within_") - F.col("size_")) / most).cast("long").alias("shard"))
 
 
 def dump(df: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
