@@ -55,7 +55,7 @@ def _overlap_start(text: str, levels: list[list[int]], begin: int, cut: int, mos
     for starts in levels:
         k = bisect_left(starts, cut)
         at = starts[k - 1] if k and starts[k - 1] > begin else begin
-        if len(text[at:cut].rstrip()) <= most:
+        if cut - at <= most:
             return at
     return max(begin, cut - most)
 
