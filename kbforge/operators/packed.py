@@ -175,31 +175,44 @@ def _simple(text: Column) -> Column:
     return ~F.coalesce(text.rlike(NESTED), F.lit(False))
 
 
-def _without(patterns: list[str]) -> Callable[[Column], Column]:
-    return lambda x: ~x.rlike("|".join(f"(?:{p})" for p in patterns))
+def _evidence(name: str, pattern: str) -> str:
+    return f"(?i:{EVIDENCE.get(name, pattern)})"
 
 
-def _scored(mask: Column, packed: Packed) -> Column:
+def _without(pattern: str) -> Callable[[Column], Column]:
+    return lambda x: ~x.rlike(pattern)
+
+
+def _divides(text: Column, packed: Packed) -> Column:
+    """Array of whether each family divides a string without nesting."""
+    return F.array(*[text.rlike(_evidence(*f)) & text.rlike("(?i)" + f[1]) for f in packed.families])
+
+
+def _scored(text: Column, divides: Column, packed: Packed) -> Column:
     """Array of (name, divides, n, whole, typed), one entry per family, for a string without nesting: the number of
-    pieces, and how many of them hold no stronger delimiter and look like the field's type."""
-    evidence = lambda name, pattern: f"(?i:{EVIDENCE.get(name, pattern)})"
+    pieces, and how many of them hold no stronger delimiter and look like the field's type. Pieces are looked at only
+    where a family divides the string, and for stronger delimiters only where the string holds one."""
     out = []
+    blank = lambda x: F.btrim(x, F.lit(" \t\n\x0b\f\r")) == ""
     for k, (name, pattern) in enumerate(packed.families):
-        found = F.filter(F.split(mask, "(?i)" + pattern), lambda x: F.trim(_strip(x)) != "")
-        stronger = [evidence(*f) for f in packed.families[:k]]
-        whole = F.size(F.filter(found, _without(stronger))) if stronger else F.size(found)
+        own = F.get(divides, F.lit(k))
+        found = F.when(own, F.filter(F.split(text, "(?i)" + pattern), lambda x: ~blank(x))).when(~blank(text), F.array(text)).otherwise(F.array().cast("array<string>"))
+        stronger = "|".join(_evidence(*f) for f in packed.families[:k])
+        whole = F.size(found) if not stronger else F.when(text.rlike(stronger), F.size(F.filter(found, _without(stronger)))).otherwise(F.size(found))
         typed = F.size(F.filter(found, lambda x: x.rlike(f"(?Us)^(?:{packed.piece})$")))
-        divides = mask.rlike(evidence(name, pattern)) & mask.rlike("(?i)" + pattern)
-        out.append(F.struct(F.lit(name).alias("name"), divides.cast("double").alias("divides"), F.size(found).alias("n"), whole.alias("whole"), typed.alias("typed")))
-    return F.array(*out)
+        out.append(F.struct(F.lit(name).alias("name"), own.cast("double").alias("divides"), F.size(found).alias("n"), whole.alias("whole"), typed.alias("typed")))
+    return F.when(text.isNotNull(), F.array(*out))
 
 
-def _chosen(scored: Column, ranking: Column, packed: Packed) -> Column:
-    """The name of the family that ``Splitter.choose`` takes, from the scores of a string without nesting."""
+def _chosen(text: Column, divides: Column, ranking: Column, packed: Packed) -> Column:
+    """The name of the family that ``Splitter.choose`` takes. Where one family alone divides a string its pieces hold no
+    other delimiter, and where none does all give the string itself; only the rest is scored."""
     place = lambda x: F.coalesce(F.nullif(F.array_position(ranking, x["name"]), F.lit(0)), F.lit(len(packed.families) + 1))
     least = lambda x: F.greatest(x["n"], F.lit(1))
-    order = F.transform(scored, lambda x, i: F.struct((x["whole"] == least(x)).alias("whole"), x["divides"].alias("divides"), (x["typed"] / least(x)).alias("typed"), (-place(x)).alias("place"), (-i).alias("strength"), x["name"].alias("name")))
-    return F.array_max(order)["name"]
+    order = F.transform(_scored(text, divides, packed), lambda x, i: F.struct((x["whole"] == least(x)).alias("whole"), x["divides"].alias("divides"), (x["typed"] / least(x)).alias("typed"), (-place(x)).alias("place"), (-i).alias("strength"), x["name"].alias("name")))
+    names = F.array(*[F.lit(n) for n, _ in packed.families])
+    alone = F.size(F.filter(divides, lambda d: d)) <= 1
+    return F.when(alone, F.get(names, F.greatest(F.array_position(divides, F.lit(True)) - 1, F.lit(0)).cast("int"))).otherwise(F.array_max(order)["name"])
 
 
 def _values(text: Column, family: Column, packed: Packed) -> Column:
@@ -218,7 +231,8 @@ def infer_delimiters(df: DataFrame, packed: Packed, source: Column) -> DataFrame
     mask = F.when(text.rlike(r'["()\[\]]'), noted).otherwise(text)
     listed = F.startswith(text, F.lit("[")) & F.endswith(text, F.lit("]"))
     rows = df.select(source.cast("string").alias("source"), F.when(~listed & (text != ""), mask).alias("mask")).where("mask is not null")
-    rows = once(rows, ["source"], {"scored": _scored(F.col("mask"), packed)})
+    rows = once(rows, ["source", "mask"], {"divides": _divides(F.col("mask"), packed)})
+    rows = once(rows, ["source"], {"scored": _scored(F.col("mask"), F.col("divides"), packed)})
     sums = []
     for k in range(len(packed.families)):
         x = F.get("scored", F.lit(k))
@@ -254,8 +268,8 @@ def split_packed(df: DataFrame, key: str, fields: tuple[Packed, ...], source: Co
     each, none = range(len(fields)), F.array().cast("array<string>")
     ranks = [f"ranking_{i}" for i in each]
     held = once(rows, ["key_", *ranks], {f"t_{i}": F.when(_simple(F.col(f"text_{i}")), _strip(F.col(f"text_{i}"))) for i in each})
-    held = once(held, ["key_", *ranks, *[f"t_{i}" for i in each]], {f"s_{i}": _scored(F.col(f"t_{i}"), p) for i, p in enumerate(fields)})
-    held = once(held, ["key_", *[f"t_{i}" for i in each]], {f"f_{i}": _chosen(F.col(f"s_{i}"), F.col(f"ranking_{i}"), p) for i, p in enumerate(fields)})
+    held = once(held, ["key_", *ranks, *[f"t_{i}" for i in each]], {f"d_{i}": _divides(F.col(f"t_{i}"), p) for i, p in enumerate(fields)})
+    held = once(held, ["key_", *[f"t_{i}" for i in each]], {f"f_{i}": _chosen(F.col(f"t_{i}"), F.col(f"d_{i}"), F.col(f"ranking_{i}"), p) for i, p in enumerate(fields)})
     found = F.array(*[F.struct(F.lit(p.column).alias("field"), F.coalesce(_values(F.col(f"t_{i}"), F.col(f"f_{i}"), p), none).alias("values")) for i, p in enumerate(fields)])
     flat = held.select("key_", F.explode(found).alias("v")).select("key_", "v.field", F.posexplode("v.values").alias("pos", "value")).select(F.col("key_").alias(key), "field", (F.col("pos") + 1).cast("long").alias("pos"), "value")
     nested = rows.where(reduce(lambda a, b: a | b, [~_simple(F.col(f"text_{i}")) for i in each]))
