@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 
 from kbforge.functions import scalars
 from kbforge.operators import search
-from kbforge.staging import Stage, broadcast_if_small
+from kbforge.staging import Stage, broadcast_if_small, rows_up_to
 
 SIMILARITY = 0.999
 BANDS, BAND_BITS = 24, 12
@@ -104,27 +104,45 @@ def _check_rounds(done: int, most: int | None) -> None:
         raise RuntimeError(f"leaders did not settle in {most} rounds")
 
 
-def greedy_leaders(pairs: DataFrame, most_rounds: int | None = None) -> DataFrame:
+#: Pairs of open rows up to which one task settles them (about 40 MB).
+SETTLE = 1_000_000
+
+
+def greedy_leaders(pairs: DataFrame, most_rounds: int | None = None, settle: int = SETTLE) -> DataFrame:
     """(id, similar_to, cosine) of every follower: its smallest leader among its smaller neighbours.
 
     ``pairs``: (a, b, cosine), a < b. Rows without a pair are leaders of themselves and don't appear. The smallest open
-    id is settled in every round, so the rounds end; with ``most_rounds`` it is an error if rows are open after them.
+    id is settled in every round, so the rounds end. Once the open rows have no more than ``settle`` pairs, counted, one
+    task takes the rows in order. With ``most_rounds`` there are rounds only, and it is an error if rows are open after
+    them.
     """
     edges = Stage(pairs.groupBy("a", "b").agg(F.max("cosine").alias("cosine")), "pairs").df
     nodes = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     smaller = edges.select("b").distinct()
     state = Stage(nodes.join(smaller, nodes["id"] == smaller["b"], "left").select("id", F.when(F.col("b").isNull(), True).alias("leads")), "state")
+
+    def in_order(pdf: pd.DataFrame) -> pd.DataFrame:
+        leads = {int(a): bool(up) for a, up in zip(pdf["a"], pdf["up"]) if up is not None and up == up}
+        out = {}
+        for b, before in pdf.sort_values("b").groupby("b", sort=True)["a"]:
+            leads[int(b)] = out[int(b)] = not any(leads[int(a)] for a in before)
+        return pd.DataFrame({"id": list(out), "leads": list(out.values())})
+
     for done in itertools.count():
         if state.df.where("leads is null").isEmpty():
             break
         _check_rounds(done, most_rounds)
-        known = edges.join(state.df.select(F.col("id").alias("a"), F.col("leads").alias("up")), "a")
-        seen = known.groupBy("b").agg(F.max((F.col("up") == True).cast("int")).alias("some"), F.max(F.col("up").isNull().cast("int")).alias("open"))  # noqa: E712
-        step = state.df.join(seen, state.df["id"] == seen["b"], "left").select(
-            "id", F.coalesce("leads", F.when(F.col("some") == 1, False).when(F.col("open") == 0, True)).alias("leads")
-        )
-        nxt = Stage(step, "state")
+        open_ = state.df.where("leads is null").select(F.col("id").alias("b"))
+        waiting = Stage(edges.select("a", "b").join(open_, "b", "left_semi").join(state.df.select(F.col("id").alias("a"), F.col("leads").alias("up")), "a"), "waiting")
+        if most_rounds is None and rows_up_to(waiting.df, settle) <= settle:
+            found = waiting.df.groupBy().applyInPandas(in_order, "id long, leads boolean")
+            nxt = Stage(state.df.where("leads is not null").unionByName(found), "state")
+        else:
+            seen = waiting.df.groupBy("b").agg(F.max((F.col("up") == True).cast("int")).alias("some"), F.max(F.col("up").isNull().cast("int")).alias("open"))  # noqa: E712
+            step = state.df.join(seen, state.df["id"] == seen["b"], "left")
+            nxt = Stage(step.select("id", F.coalesce("leads", F.when(F.col("some") == 1, False).when(F.col("open") == 0, True)).alias("leads")), "state")
         state.drop()
+        waiting.drop()
         state = nxt
     leaders = state.df.where("leads").select(F.col("id").alias("a"))
     followers = state.df.where("not leads").select(F.col("id").alias("b"))

@@ -388,6 +388,19 @@ def test_shards_over_many_ranges(spark, seed):
     assert export.pack_shards(df.limit(0), "id", ["id", "text"], 120).count() == 0
 
 
+def test_cumulative_shards(spark):
+    """Groups over several ranges, one of them without a name and one that holds most rows."""
+    rng = random.Random(3)
+    data = [(i, rng.choice(["a", "a", "a", "a", "b", None]), rng.randrange(1, 50)) for i in range(500)]
+    df = spark.createDataFrame(data, "id long, src string, n int").repartition(4)
+    got = {r["id"]: r["shard"] for r in export.cumulative_shards(df, F.col("n"), ["src"], ["id"], 100).collect()}
+    held, want = Counter(), {}
+    for i, src, n in data:
+        want[i] = held[src] // 100
+        held[src] += n
+    assert got == want and export.cumulative_shards(df.limit(0), F.col("n"), ["src"], ["id"], 100).count() == 0
+
+
 def test_incremental(spark, tmp_path):
     df = spark.range(50)
     df.write.parquet(f"file://{tmp_path}/in")
