@@ -1,21 +1,23 @@
 """Broken prompt and response pairs: a conditional random field tags the clauses of each answer as answer, refusal,
 echo, foreign or unfinished; the clauses' coverage gives the pair its defect.
 
-The field is linear-chain and fitted at run time, since the tables carry no labels: complete answers of a bounded
-sample of pairs (SAMPLE pairs, by a hash of the id) are kept as they are, cut off, replaced by the query, by a refusal
-composed from phrases, or by an answer in another language. Features see the clause, its place and the query.
+The field is linear-chain and fitted at run time, since the tables carry no labels: the complete answers of all pairs
+are kept as they are, cut off, replaced by the query, by a refusal composed from phrases, or by an answer in another
+language. Features see the clause, its place and the query. Equal examples count as one with their number as weight,
+so that the fit grows with the different ones: few are worked on by the driver, more by tasks, all of them always.
 Counts, tags and defects cover every pair.
 
-Two kinds of evidence are learnt from the same sample and PASSAGES passages:
+Two kinds of evidence are learnt from all pairs and all passages, each text once:
 
 * what words of each language look like: character trigrams, and how unlikely a word may be before it counts as
   foreign (a quantile of the language's own words, each held against the counts without itself). It tells languages
   that no list here knows.
 * which words speak of answering and not of the matter: the log-odds of each word in refusals against answers. Refusals
-  are the composed ones and those of the sample that the features of person, stance and talk mark and that hold
+  are the composed ones and those of the table that the features of person, stance and talk mark and that hold
   nothing of the query.
 
-For a share of the examples the features that rest on wordings and word lists are left out, so that the others carry
+The composed refusals and the pairs of our own keep their share in a large table: beyond OWN_SHARE pairs they count in
+proportion to the pairs. For a share of the examples the features that rest on wordings and word lists are left out, so that the others carry
 weight of their own.
 
 Defined results: without any answer text a pair is ``empty`` (a null or empty array only in ``answers``); of several
@@ -26,11 +28,13 @@ count once, the row with the smallest item_id; an empty table gives an empty res
 from __future__ import annotations
 
 import math
+import random
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -42,9 +46,14 @@ from kbforge.staging import Stage
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 DEFECT = {"refusal": "refusal", "echo": "copy", "foreign": "language", "unfinished": "truncated"}
 FIELDS = ("answers", "well_formed_answers")
-SAMPLE, PASSAGES = 1500, 6000
-#: Queries that one task tags, unless that would be more than 64 tasks a core.
-ROWS_A_TASK = 1000
+#: Queries that one task works on, unless that would be more than 64 tasks a core; queries that exchange their answers.
+ROWS_A_TASK, ROWS_A_BUCKET = 1000, 250
+#: Pairs to which the composed refusals and the pairs of our own count once.
+OWN_SHARE = 1800
+#: Refusals of each language that the composed ones stand for in the odds of words.
+COMPOSED = 200
+#: Clauses of different examples that the driver fits by itself.
+FIT_HERE = 200_000
 
 #: Function words and question words by language, for telling languages apart.
 FUNCTION_WORDS = {
@@ -128,26 +137,42 @@ CUT_TAILS = ["", "", "", "", "...", "…", " ...", " [...]", ",", " and", " of t
 #: Words of a language below whose likelihood a word counts as foreign: one in so many.
 QUANTILE = 8
 TOKEN = re.compile(r"[^\W_]+")
+LOWER_FIRST = re.compile(r"(?<![^\W_])[a-z][A-Za-z]*(?![^\W_])")
 SPOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 NAME = re.compile(r"(?<=[^\W_] )[A-Z][^\W\d_]+")
 INITIAL = re.compile(r"\b[A-Z]\.(?=\s*\w)|(?<=[a-z] )[IVX]+\b")
 QUOTED = re.compile(r"\"[^\"]*\"|“[^”]*”|«[^»]*»|„[^“]*“")
 CLAUSE_END = re.compile(r"(?<=[^\W\d_]{3}[.!?])[\"')\]]*\s+|(?<=\d[.!?])\s+(?=\D)|(?<=[。！？])|(?<=[^\d\s]),\s+(?=\S)")
 LABEL = re.compile(r"^\W*(q|question|query|prompt|frage|pregunta|вопрос|问)\s*[:.)]\s*", re.I)
+FIRST_WORD = re.compile(r"\W*(i|ich|je|it|it's|es|il|no|ne|kann|darf)\b", re.I)
 MARKUP = re.compile(r"</?[a-z][^<>]*>|&(?:quot|amp|nbsp|lt|gt|#\d+);", re.I)
 ELLIPSIS = re.compile(r"(\.\s?\.\s?\.|…|\[\s*(\.\.+|…)\s*\])[\"')\]]*$")
 CLOSED = re.compile(r"[.!?。！？][\"'”’»)\]]*$")
-ASCII_LETTER = re.compile("[A-Za-z]")
+ASCII_LETTER, ASCII_DIGIT = re.compile("[A-Za-z]"), re.compile("[0-9]")
+BEYOND_LATIN = re.compile("[^\\x00-\u024f\u1e00-\u1eff]")
+QUOTE_SIGN, CLAUSE_SIGN = re.compile("[\"“«„]"), re.compile("[.!?,。！？]")
 CYRILLIC, CJK = re.compile(r"[Ѐ-ӿ]"), re.compile(r"[぀-ヿ㐀-鿿가-힯]")
 
 
 def tokens(text: str) -> list[str]:
-    return TOKEN.findall(unicodedata.normalize("NFKC", text).casefold())
+    return TOKEN.findall(text.lower() if text.isascii() else unicodedata.normalize("NFKC", text).casefold())
+
+
+def unquoted(text: str) -> str:
+    return QUOTED.sub(" ", text) if QUOTE_SIGN.search(text) else text
+
+
+def has_letter(text: str) -> bool:
+    return bool(ASCII_LETTER.search(text)) or not text.isascii() and any(map(str.isalpha, text))
+
+
+def has_digit(text: str) -> bool:
+    return bool(ASCII_DIGIT.search(text)) or not text.isascii() and any(map(str.isdigit, text))
 
 
 def script(text: str) -> str:
-    if text.isascii():
-        return "latin" if ASCII_LETTER.search(text) else ""
+    if not BEYOND_LATIN.search(text):
+        return "latin" if has_letter(text) else ""
     letters = sum(c.isalpha() for c in text)
     if not letters:
         return ""
@@ -160,23 +185,30 @@ def script(text: str) -> str:
 
 def language_scores(text: str) -> dict[str, float]:
     """Evidence for each language outside of quotations: function words, and half a point for telling letters."""
-    plain = QUOTED.sub(" ", text)
+    plain = unquoted(text)
     kind = script(plain)
     if kind in ("zh", "ru", "other"):
         return {kind: 9.0}
-    scores = {k: 0.0 for k in WORDS if k != "ru"}
-    for t in tokens(plain):
-        for k in LANGUAGES_OF.get(t, ()):
+    scores = {"en": 0.0, "de": 0.0, "fr": 0.0, "es": 0.0}
+    found = tokens(plain)
+    for of in filter(None, map(LANGUAGES_OF.get, found)):
+        for k in of:
             scores[k] += 1.0
-        if not t.isascii() and t.islower():
-            for k, signs in LETTER_SIGNS.items():
-                scores[k] += 0.5 * (not signs.isdisjoint(t))
+    if not plain.isascii():
+        for t in found:
+            if not t.isascii() and t.islower():
+                for k, signs in LETTER_SIGNS.items():
+                    scores[k] += 0.5 * (not signs.isdisjoint(t))
     return scores
 
 
 @lru_cache(8192)
 def query_language(query: str) -> str:
-    scores = language_scores(query)
+    return language(query)
+
+
+def language(text: str) -> str:
+    scores = language_scores(text)
     best = max(scores.values(), default=0)
     return next((k for k in ("zh", "ru", "other", "en", "de", "fr", "es") if scores.get(k, 0) == best), "en") if best else "en"
 
@@ -190,84 +222,105 @@ def foreignness(text: str, lang: str) -> float:
 
 
 def clauses(answer: str) -> list[str]:
+    if not CLAUSE_SIGN.search(answer, 0, len(answer) - 1) and answer[-1:] not in "。！？":
+        return [answer]
     out = [c for c in CLAUSE_END.split(answer) if c and TOKEN.search(c)]
     return out or [answer]
 
 
 def person_words(text: str) -> list[str]:
     """Words in lower case with their apostrophes, without those of quotations and without initials of names."""
-    return [w.lower().replace("’", "'") for w in SPOKEN.findall(INITIAL.sub(" ", QUOTED.sub(" ", text)))]
+    return [w.lower().replace("’", "'") for w in SPOKEN.findall(INITIAL.sub(" ", unquoted(text)))]
 
 
 def marks(words: list[str]) -> tuple[bool, bool, bool]:
     """Whether a clause speaks in the first person, takes a stance, and talks of the answering."""
-    parts = [p for w in words for p in ((w, *w.split("'"), w[-3:]) if "'" in w else (w,))]
-    return any(p in PERSON for p in parts), any(p in STANCE for p in parts), any(p in TALK for p in parts)
+    parts = {p for w in words for p in ((w, *w.split("'"), w[-3:]) if "'" in w else (w,))}
+    return not PERSON.isdisjoint(parts), not STANCE.isdisjoint(parts), not TALK.isdisjoint(parts)
 
 
 class Evidence:
     """What was learnt of languages and of refusals: trigram counts by language with the least likelihood of a word, and
     log-odds of words."""
 
-    def __init__(self, texts: list[tuple[str, str]], refusals: list[str] = (), answers: list[str] = ()):
-        self.grams: dict[str, Counter] = {}
-        self.total: dict[str, float] = {}
-        self.floor: dict[str, float] = {}
+    def __init__(self, grams: dict[str, dict[str, int]], odds: dict[str, float], floor: dict[str, float] | None = None):
+        self.grams = grams
+        self.total = {lang: float(sum(own.values())) for lang, own in grams.items()}
+        self.logs = {lang: {g: math.log((n + 0.5) / (self.total[lang] + 5000.0)) for g, n in own.items()} for lang, own in grams.items()}
+        self.none = {lang: math.log(0.5 / (total + 5000.0)) for lang, total in self.total.items()}
+        self.place = {lang: i for i, lang in enumerate(grams)}
+        self.floor = floor or {}
+        self.odds = {w: max(-2.0, min(3.0, x)) for w, x in odds.items()}
+        self._seen: dict[str, tuple[tuple, tuple]] = {}
+
+    @classmethod
+    def of(cls, texts: list[tuple[str, str]], refusals: list[str], answers: list[str], scale: float = 1.0) -> Evidence:
+        """From texts in memory; the composed refusals count ``scale`` times."""
         words: dict[str, Counter] = {}
         for lang, text in texts:
             words.setdefault(lang, Counter()).update(plain_words(text))
-        for lang, found in words.items():
-            grams = self.grams[lang] = Counter()
-            for w, n in found.items():
+        grams: dict[str, Counter] = {}
+        for lang in sorted(words):
+            grams[lang] = Counter()
+            for w, n in words[lang].items():
                 for g in trigrams(w):
-                    grams[g] += n
-            self.total[lang] = float(sum(grams.values()))
-            own = sorted(self.likelihood(w, lang, n) for w, n in found.items() if len(w) > 2)
-            self.floor[lang] = own[len(own) // QUANTILE] if own else -math.inf
+                    grams[lang][g] += n
         one, two = (Counter(w for t in ts for w in set(person_words(t))) for ts in (refusals, answers))
-        n1, n2 = max(1, len(refusals)), max(1, len(answers))
-        self.odds = {w: math.log((one[w] + 0.5) / (n1 + 1)) - math.log((two[w] + 0.5) / (n2 + 1)) for w in one}
-        self._seen: dict[tuple[str, str], float] = {}
+        evidence = cls(grams, log_odds(one, two, len(refusals), len(answers), scale))
+        for lang, found in words.items():
+            own = sorted(evidence.likelihood(w, lang, n) for w, n in found.items() if len(w) > 2)
+            evidence.floor[lang] = own[len(own) // QUANTILE] if own else -math.inf
+        return evidence
 
     def likelihood(self, word: str, lang: str, without: int = 0) -> float:
         """Mean log-likelihood of a word's trigrams in a language, ``without`` so many occurrences of the word."""
-        grams, total = self.grams[lang], self.total[lang]
         found = trigrams(word)
+        if not without:
+            logs, none = self.logs[lang], self.none[lang]
+            return sum([logs.get(g, none) for g in found]) / len(found)
+        grams, total = self.grams[lang], self.total[lang]
         return sum(math.log((grams[g] - without + 0.5) / (total + 5000.0)) for g in found) / len(found)
 
-    def unlikely(self, word: str, lang: str) -> bool:
-        return self._cached(word, lang) < self.floor[lang]
-
-    def unlike(self, text: str, lang: str) -> tuple[float, int, bool]:
+    def unlike(self, found: list[str], lang: str) -> tuple[float, int, bool]:
         """(share, number) of the words of a text that are unlikely in a language and no function words of it, and
         whether there are five words or more of which hardly one is a function word of it."""
         if lang not in self.grams or lang not in WORDS:
             return 0.0, 0, False
-        found = plain_words(text)
-        own = sum(w in WORDS[lang] for w in found)
-        strange = sum(w not in WORDS[lang] and self.unlikely(w, lang) for w in found)
-        return (strange / len(found) if found else 0.0), strange, len(found) >= 5 and own < 0.15 * len(found)
+        others = [w for w in found if w not in WORDS[lang]]
+        at, floor = self.place[lang], self.floor[lang]
+        strange = sum([self._likelihoods(w)[0][at] < floor for w in others])
+        return (strange / len(found) if found else 0.0), strange, len(found) >= 5 and len(found) - len(others) < 0.15 * len(found)
 
-    def likelier(self, text: str, lang: str) -> float:
+    def likelier(self, found: list[str], lang: str) -> float:
         """How much likelier, per trigram, the words of a text are in the best other language than in ``lang``."""
-        found = plain_words(text)
-        if lang not in self.grams or len(found) < 3:
+        if lang not in self.grams or len(found) < 3 or not self.total[lang]:
             return 0.0
         n = sum(map(len, found))
-        score = {k: sum(self._cached(w, k) * len(w) for w in found) / n for k in self.grams if self.total[k]}
-        return max((v for k, v in score.items() if k != lang), default=-math.inf) - score.get(lang, -math.inf) if score.get(lang) else 0.0
-
-    def _cached(self, word: str, lang: str) -> float:
-        key = (word, lang)
-        if key not in self._seen:
+        score = [x / n for x in map(sum, zip(*[self._likelihoods(w)[1] for w in found]))]
+        at = self.place[lang]
+        return max((x for k, x in zip(self.grams, score) if k != lang and self.total[k]), default=-math.inf) - score[at] if score[at] else 0.0
+
+    def _likelihoods(self, word: str) -> tuple[tuple, tuple]:
+        """The likelihoods of a word by language, and the same times its trigrams."""
+        held = self._seen.get(word)
+        if held is None:
             if len(self._seen) > 500_000:  # what it has forgotten is worked out again
                 self._seen.clear()
-            self._seen[key] = self.likelihood(word, lang)
-        return self._seen[key]
+            own = tuple([self.likelihood(word, lang) for lang in self.grams])
+            held = self._seen[word] = own, tuple([x * len(word) for x in own])
+        return held
 
     def stance(self, words: list[str]) -> float:
         """Sum of the words' log-odds, each bounded; a word that no refusal holds speaks against one."""
-        return sum(max(-2.0, min(3.0, self.odds.get(w, -1.0))) for w in set(words)) if self.odds else 0.0
+        return sum([self.odds.get(w, -1.0) for w in set(words)]) if self.odds else 0.0
+
+
+def log_odds(one: dict[str, int], two: dict[str, int], refusals: int, answers: int, scale: float) -> dict[str, float]:
+    """Log-odds of each word of a refusal, from the numbers of refusals (``one``) and answers (``two``) that hold it; the
+    composed refusals count ``scale`` times."""
+    made = composed_words()
+    n1, n2 = refusals + scale * COMPOSED * len(REFUSALS), max(1, answers)
+    return {w: math.log((one.get(w, 0) + scale * made.get(w, 0) + 0.5) / (n1 + 1)) - math.log((two.get(w, 0) + 0.5) / (n2 + 1)) for w in sorted({*one, *made})}
 
 
 def trigrams(word: str) -> list[str]:
@@ -277,7 +330,10 @@ def trigrams(word: str) -> list[str]:
 
 def plain_words(text: str) -> list[str]:
     """Words that aren't set with a capital (names among them) nor within quotations."""
-    return [w.lower() for w in TOKEN.findall(unicodedata.normalize("NFKC", QUOTED.sub(" ", text))) if w[0].islower() and w.isalpha()]
+    plain = unquoted(text)
+    if plain.isascii():
+        return [w.lower() for w in LOWER_FIRST.findall(plain)]
+    return [w.lower() for w in TOKEN.findall(unicodedata.normalize("NFKC", plain)) if w[0].islower() and w.isalpha()]
 
 
 FEATURES = (
@@ -293,48 +349,78 @@ INDEX = {f: i for i, f in enumerate(FEATURES)}
 ANY_FUNCTION_WORD = set().union(*WORDS.values()) - {"long", "many", "name", "definition", "population", "depth", "much", "me", "es", "it", "them", "there", "so"}
 
 
+SENTENCE_WORDS = {w for w in ANY_FUNCTION_WORD - NAME_PARTICLES if w.islower()}
+#: Wordings of refusals with parts of which an ASCII text must hold one, in lower case, to match; SPEAKER matches whole words.
+WORDINGS = (
+    ("apology", APOLOGY, ("sorry", "apolog", "unfortunately", "regrettably", "leid", "entschuldigung", "malheureusement", "lo siento", "lamentablemente", "desafortunadamente")),
+    ("self", SELF, ("as a", "model", "system", "assistant", "als ", "en tant qu", "como ")),
+    ("unable", UNABLE, ("can", "could", "unable", "won", "not ", "decline", "don", "impossible", "refuse", "kann", "nicht", "darf", "keine", "ne ", "n'ai", "m'est", "no ")),
+    ("request", REQUEST, ("please", "bitte", "veuillez", "consult", "por favor", "try another", "ask a", "specialist", "expert", "professional", "sensitive", "at this time", "based on the", "fachperson", "especialista", "help with", "answer this", "this question", "diese frage", "cette question", "esta pregunta", "that request", "that information")),
+)
+SPEAKERS = set("i me my ich mir mich je j m moi puedo tengo siento dispongo".split())
+
+
+@lru_cache(8192)
+def query_facts(query: str) -> tuple[list[str], set[str], set[str], str, str]:
+    """Words of a query, the same as a set, those of its matter, its language and its script."""
+    q = tokens(query)
+    return q, set(q), set(q) - ANY_FUNCTION_WORD, query_language(query) if q else "", script(query)
+
+
+def wordings_in(text: str, words: list[str]) -> set[str]:
+    """Names of the wordings of refusals that a text with these ``words`` holds."""
+    plain, low = text.isascii(), text.lower()
+    found = {name for name, pattern, parts in WORDINGS if (not plain or any([p in low for p in parts])) and pattern.search(text)}
+    return found | {"speaker"} if (not plain or not SPEAKERS.isdisjoint(words)) and SPEAKER.search(text) else found
+
+
 def features(query: str, answer: str, evidence: Evidence) -> tuple[list[str], np.ndarray]:
     """The clauses of an answer and their features."""
-    text = MARKUP.sub(" ", answer).strip()
+    text = (MARKUP.sub(" ", answer) if "<" in answer or "&" in answer else answer).strip()
     parts = clauses(text)
-    q, a = tokens(query), tokens(LABEL.sub("", text))
-    q_set, lang = set(q), query_language(query) if q else ""
+    q, q_set, q_matter, lang, q_script = query_facts(query)
+    words, own_text = tokens(text), LABEL.sub("", text)
+    a = words if own_text == text else tokens(own_text)
+    a_set = set(a)
     echo = bool(q) and bool(a) and len(a) % len(q) == 0 and a == q * (len(a) // len(q))
-    refuses = bool(UNABLE.search(text) and SPEAKER.search(text) and (APOLOGY.search(text) or REQUEST.search(text) or SELF.search(text) or re.match(r"\W*(i|ich|je|it|it's|es|il|no|ne|kann|darf)\b", text, re.I)))
+    spoken, wordings = person_words(text), wordings_in(text, words)
+    refuses = "unable" in wordings and "speaker" in wordings and bool(not wordings.isdisjoint(("apology", "request", "self")) or FIRST_WORD.match(text))
     plain = text.replace("\\", "")
     unbalanced = plain.count("(") > plain.count(")") or plain.count("[") > plain.count("]") or plain.count('"') % 2 == 1 or plain.count("„") > plain.count("“") or plain.count("«") > plain.count("»")
     whole_lang = foreignness(text, lang)
-    covered = len(q_set & set(a)) / len(q_set) if q_set else 0.0
-    matter = (q_set - ANY_FUNCTION_WORD) & set(a)  # what of the query's matter the answer takes up
-    bare = not matter and not any(c.isdigit() for c in text)
-    unlike, strange, few_own = evidence.unlike(text, lang) if lang else (0.0, 0, False)
-    strange_script = bool(lang) and script(QUOTED.sub(" ", text)) not in ("", script(query))
-    likelier = evidence.likelier(text, lang) if lang else 0.0
+    covered = len(q_set & a_set) / len(q_set) if q_set else 0.0
+    bare = q_matter.isdisjoint(a_set) and not has_digit(text)  # nothing of the query's matter is taken up
+    found = plain_words(text) if lang else []
+    unlike, strange, few_own = evidence.unlike(found, lang) if lang else (0.0, 0, False)
+    strange_script = bool(lang) and script(unquoted(text)) not in ("", q_script)
+    likelier = evidence.likelier(found, lang) if lang else 0.0
+    prose = len(a) >= 3 and not SENTENCE_WORDS.isdisjoint(TOKEN.findall(text))
     x = np.zeros((len(parts), len(FEATURES)), dtype=np.float32)
     for i, part in enumerate(parts):
-        t, last = tokens(part), i == len(parts) - 1
-        stripped = part.strip()
+        last, stripped = i == len(parts) - 1, part.strip()
+        whole = stripped == text
+        t = words if whole else tokens(part)
         on = ["bias"]
         on += ["first"] * (i == 0) + ["last"] * last
         on.append("words_1" if len(t) <= 1 else "words_3" if len(t) <= 3 else "words_6" if len(t) <= 6 else "words_more")
-        ellipsis = bool(ELLIPSIS.search(stripped)) and last
+        ellipsis = last and ("." in stripped or "…" in stripped) and bool(ELLIPSIS.search(stripped))
         closed = bool(CLOSED.search(stripped)) and not ellipsis
         cut = last and not closed
         hanging = bool(t) and t[-1] in ANY_FUNCTION_WORD
         upper = stripped[:1].isupper() or (stripped[:1] in "\"'“«¿¡(" and stripped[1:2].isupper())
-        shares = bool(q_set & set(t)) and len(a) >= 3
-        sentence = (upper and len(a) >= 3 and any(w.islower() and w in ANY_FUNCTION_WORD and w not in NAME_PARTICLES for w in TOKEN.findall(text))) or (shares and len(a) >= 4)
+        shares = len(a) >= 3 and not q_set.isdisjoint(t)
+        sentence = (upper and prose) or (shares and len(a) >= 4)
         on += ["closed"] * closed + ["ellipsis"] * ellipsis + ["open"] * (last and unbalanced) + ["comma"] * (last and stripped[-1:] in ",;:-–—(") + ["hanging_word"] * (cut and hanging)
         on += ["upper"] * upper + ["lower"] * stripped[:1].islower() + ["sentence"] * sentence + ["open_sentence"] * (cut and sentence and not echo) + ["bare_phrase"] * (not shares and not upper)
-        inside = sum(w in q_set for w in t) / len(t) if t else 0.0
+        inside = sum([w in q_set for w in t]) / len(t) if t else 0.0
         on += ["in_query_all"] if inside == 1 else ["in_query_most"] if inside > 0.6 else ["in_query_some"] if inside else []
         on += ["covers_all"] if covered == 1 else ["covers_most"] if covered > 0.6 else ["covers_some"] if covered else []
         on += ["echo"] * echo
-        apology, unable, speaker = bool(APOLOGY.search(stripped)), bool(UNABLE.search(stripped)), bool(SPEAKER.search(stripped))
-        on += ["apology"] * apology + ["self"] * bool(SELF.search(stripped)) + ["unable"] * unable + ["speaker"] * speaker + ["unable_speaker"] * (unable and speaker) + ["request"] * bool(REQUEST.search(stripped))
-        own = max(foreignness(stripped, lang), whole_lang) if lang else 0.0
+        if not whole:
+            spoken, wordings = person_words(stripped), wordings_in(stripped, t)
+        on += sorted(wordings) + ["unable_speaker"] * ("unable" in wordings and "speaker" in wordings)
+        own = (whole_lang if whole else max(foreignness(stripped, lang), whole_lang)) if lang else 0.0
         on += (["foreign_strong", "foreign"] if own >= 3 else ["foreign"] if own >= 2 else ["foreign_weak"] if own >= 1 else []) + ["answer_refuses"] * refuses
-        spoken = person_words(stripped)
         person, stance, talk = marks(spoken)
         count, odds = person + stance + talk, evidence.stance(spoken)
         on += ["person"] * person + ["stance"] * stance + ["talk"] * talk + ["person_stance"] * (person and stance) + ["person_talk"] * (person and talk) + ["stance_talk"] * (stance and talk)
@@ -342,7 +428,7 @@ def features(query: str, answer: str, evidence: Evidence) -> tuple[list[str], np
         on += ["unlike_some"] * (strange >= 3 and unlike >= 0.35) + ["unlike_most"] * (strange >= 3 and unlike >= 0.5)
         on += ["other_likelier"] * (likelier > 0.1) + ["other_much_likelier"] * (likelier > 0.6)
         on += ["other_script"] * strange_script + ["few_own"] * few_own + ["few_own_unlike"] * (few_own and unlike >= 0.2)
-        on += ["digits"] * any(c.isdigit() for c in part) + ["letters_none"] * (not any(c.isalpha() for c in part))
+        on += ["digits"] * has_digit(part) + ["letters_none"] * (not has_letter(part))
         x[i, [INDEX[f] for f in on]] = 1
     return parts, x
 
@@ -359,27 +445,22 @@ class ClauseField:
         self.weights, self.moves = weights, moves
 
     @classmethod
-    def fit(cls, sequences: list[np.ndarray], tags: list[np.ndarray], rounds: int = 300, penalty: float = 0.0005, tolerance: float = 0.0003) -> ClauseField:
-        """Maximum likelihood with an L2 penalty, by Adam, until no weight's gradient exceeds ``tolerance``. Equal
-        examples count as one with their number as weight, and those of one length are worked on together."""
-        k, d = len(TAGS), sequences[0].shape[1]
+    def fit(cls, sequences: list[np.ndarray], tags: list[np.ndarray], **how) -> ClauseField:
+        """From examples in memory."""
+        groups = grouped([(*example, w) for example, w in sorted(counted(zip(sequences, tags)).items())])
+        return cls.climb(lambda field: field.gradient(groups), **how)
+
+    @classmethod
+    def climb(cls, gradient: Callable[[ClauseField], np.ndarray], rounds: int = 300, penalty: float = 0.0005, tolerance: float = 0.0003) -> ClauseField:
+        """Maximum likelihood with an L2 penalty, by Adam, until no weight's gradient exceeds ``tolerance``."""
+        k, d = len(TAGS), len(FEATURES)
         field = cls(np.zeros((d, k)), np.zeros((k, k)))
-        number = Counter((len(y), x.astype(np.uint8).tobytes(), y.astype(np.int64).tobytes()) for x, y in zip(sequences, tags))
-        groups = []
-        for top in sorted({n for n, _, _ in number}):
-            own = [(x, y, w) for (n, x, y), w in number.items() if n == top]
-            x = np.frombuffer(b"".join(o[0] for o in own), dtype=np.uint8).reshape(len(own), top, d).astype(np.float64)
-            y = np.frombuffer(b"".join(o[1] for o in own), dtype=np.int64).reshape(len(own), top)
-            groups.append((x, np.eye(k)[y], np.array([o[2] for o in own], dtype=np.float64)))
-        seen = sum((np.einsum("nti,ntj,n->ij", gold[:, :-1], gold[:, 1:], w) for _, gold, w in groups), np.zeros((k, k)))
-        size = sum(w.sum() for _, _, w in groups)
         state = [np.zeros((d, k)), np.zeros((d, k)), np.zeros((k, k)), np.zeros((k, k))]
         for step in range(1, rounds + 1):
-            at_weights, at_moves = -penalty * field.weights, seen / size - penalty * field.moves
-            for x, gold, w in groups:
-                p, expected = field._inside(x @ field.weights, w)
-                at_weights += np.tensordot(x, (gold - p) * (w / size)[:, None, None], ((0, 1), (0, 1)))
-                at_moves -= expected / size
+            total = gradient(field)
+            found = total[1:] / total[0]
+            at_weights = found[: d * k].reshape(d, k) - penalty * field.weights
+            at_moves = found[d * k :].reshape(k, k) - penalty * field.moves
             if max(np.abs(at_weights).max(), np.abs(at_moves).max()) < tolerance:
                 break
             for i, (g, values) in enumerate(((at_weights, field.weights), (at_moves, field.moves))):
@@ -388,6 +469,16 @@ class ClauseField:
                 values += 0.15 * (state[2 * i] / (1 - 0.9**step)) / (np.sqrt(state[2 * i + 1] / (1 - 0.99**step)) + 1e-8)
         return field
 
+    def gradient(self, groups: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The number of examples, and the gradient of their log-likelihood by weights and moves, as one row."""
+        size, at_weights, at_moves = 0.0, np.zeros_like(self.weights), np.zeros_like(self.moves)
+        for x, gold, w in groups:
+            p, expected = self._inside(x @ self.weights, w)
+            size += w.sum()
+            at_weights += np.tensordot(x, (gold - p) * w[:, None, None], ((0, 1), (0, 1)))
+            at_moves += np.einsum("nti,ntj,n->ij", gold[:, :-1], gold[:, 1:], w) - expected
+        return np.concatenate([[size], at_weights.ravel(), at_moves.ravel()])
+
     def _inside(self, score: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """P(tag) of each clause of sequences of one length, and the expected moves, each sequence with its weight."""
         n, top, k = score.shape
@@ -421,6 +512,28 @@ class ClauseField:
         return out
 
 
+def packed(x: np.ndarray) -> bytes:
+    return np.packbits(x != 0, axis=1).tobytes()
+
+
+def unpacked(x: bytes, clauses: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(x, dtype=np.uint8).reshape(clauses, -1), axis=1, count=len(FEATURES))
+
+
+def counted(made: Iterable[tuple[np.ndarray, np.ndarray]]) -> Counter:
+    """Numbers of equal examples, by their features and tags in bytes."""
+    return Counter((packed(x), y.astype(np.uint8).tobytes()) for x, y in made)
+
+
+def grouped(numbers: Iterable[tuple[bytes, bytes, float]]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(features, tags, weight) of counted examples, those of one length together."""
+    by_length: dict[int, list] = {}
+    for x, y, w in numbers:
+        by_length.setdefault(len(y), []).append((unpacked(x, len(y)), np.frombuffer(y, dtype=np.uint8), w))
+    every = np.eye(len(TAGS))
+    return [(np.stack([x for x, _, _ in own]).astype(np.float64), every[np.stack([y for _, y, _ in own])], np.array([w for _, _, w in own], dtype=np.float64)) for _, own in sorted(by_length.items())]
+
+
 def has_text(answer: str | None) -> bool:
     """False for a blank, a bare mark or a wording for no answer."""
     if answer is None:
@@ -433,23 +546,30 @@ def has_text(answer: str | None) -> bool:
 KINDS = ("refusal", "refusal", "echo", "foreign", "unfinished", "unfinished", "no echo")
 
 
+OWN_PAIRS = [(q, a) for _, q, full, short in SEEDS for a in (full, short)] * 12
+
+
 def examples(pairs: list[tuple[str, str]], evidence: Evidence, seed: int = 3) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Training sequences from (query, complete answer) pairs and the seeds."""
-    rng = np.random.default_rng(seed)
-    pick = lambda xs: xs[int(rng.integers(len(xs)))]
-    held = [(q, a) for q, a in pairs] + [(q, a) for _, q, full, short in SEEDS for a in (full, short)] * 12
+    return made_of([*pairs, *OWN_PAIRS], pairs, evidence, str(seed), {})
+
+
+def made_of(held: list[tuple[str, str]], pool: list[tuple[str, str]], evidence: Evidence, seed: str, known: dict[tuple[str, str], np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Training sequences from ``held`` pairs, with the seeds and the answers of ``pool`` as answers to other queries;
+    ``known`` features aren't worked out again."""
+    rng = random.Random(seed)
+    pick = rng.choice
     by_language: dict[str, list[str]] = {}
     for lang, _, full, _ in SEEDS:
         by_language.setdefault(lang, []).append(full)
-    for q, a in pairs:
+    for q, a in pool:
         if len(tokens(a)) >= 6:
             by_language.setdefault(query_language(q), []).append(a)
     made: list[tuple[str, str, str]] = []
     for q, a in held:
         lang = query_language(q)
         made.append((q, a, "answer"))
-        for at in rng.choice(len(KINDS), 2, replace=False):
-            kind = KINDS[at]
+        for kind in rng.sample(KINDS, 2):
             if kind == "refusal":
                 r = refusal(lang, pick)
                 made.append((q, pick([r, r[:1].upper() + r[1:], r.lower()]), kind))
@@ -474,10 +594,10 @@ def examples(pairs: list[tuple[str, str]], evidence: Evidence, seed: int = 3) ->
     listed = [INDEX[f] for f in LISTED]
     xs, ys = [], []
     for q, a, kind in made:
-        parts, x = features(q, a, evidence)
+        x = known[q, a].copy() if (q, a) in known else features(q, a, evidence)[1]
         if rng.random() < LEFT_OUT:
             x[:, listed] = 0
-        y = np.full(len(parts), TAGS.index(kind))
+        y = np.full(len(x), TAGS.index(kind))
         if kind == "unfinished":
             y[:-1] = TAGS.index("answer")
         xs.append(x)
@@ -492,7 +612,11 @@ def refusal(lang: str, pick) -> str:
 
 def defect_of(parts: list[str], tags: np.ndarray) -> str | None:
     """The defect of one answer from the coverage of its clauses' tags."""
-    size = np.array([len(p) for p in parts], dtype=float)
+    return defect_by([len(p) for p in parts], tags)
+
+
+def defect_by(sizes: list[int], tags: np.ndarray) -> str | None:
+    size = np.array(sizes, dtype=float)
     share = {t: float(size[tags == i].sum() / size.sum()) for i, t in enumerate(TAGS)}
     for tag in ("refusal", "echo", "foreign"):
         if share[tag] > 0.5:
@@ -528,70 +652,210 @@ def complete_pairs(rows: list[tuple[str | None, list[str]]]) -> tuple[list[tuple
     return out, refusals
 
 
-def learn(rows: list[tuple[str | None, list[str]]], passages: list[str], seed: int = 3) -> tuple[Evidence, ClauseField]:
-    """The evidence and the field from a sample of (query, answers) and passages."""
+@lru_cache(1)
+def composed_words() -> dict[str, float]:
+    """In how many of COMPOSED refusals of each language a word is to be expected, of all that can be composed."""
+    expected: Counter = Counter()
+    for parts in REFUSALS.values():
+        every = ["".join(x) for x in product(*parts)]
+        for w, n in Counter(w for t in every for w in set(person_words(t))).items():
+            expected[w] += COMPOSED * n / len(every)
+    return dict(expected)
+
+
+def own_texts() -> list[tuple[str, str]]:
+    """Texts of our own by language."""
+    texts = [(lang, x) for lang, *own in SEEDS for x in own] + [(lang, x) for lang, x in FUNCTION_WORDS.items()]
+    return texts + [(lang, part) for lang, parts in REFUSALS.items() for part in parts[1]]
+
+
+OWN_ANSWERS = [x for _, _, *own in SEEDS for x in own]
+
+
+def learn(rows: list[tuple[str | None, list[str]]], passages: list[str]) -> tuple[Evidence, ClauseField]:
+    """The evidence and the field from (query, answers) and passages in memory."""
     pairs, refusals = complete_pairs(rows)
-    rng = np.random.default_rng(seed)
-    composed = [refusal(lang, lambda xs: xs[int(rng.integers(len(xs)))]) for lang in REFUSALS for _ in range(200)]
-    texts = [(query_language(x), x) for x in {*passages, *(a for _, a in pairs), *(q for q, _ in pairs)} if x and x.strip()]
-    texts += [(lang, x) for lang, *own in SEEDS for x in own] + [(lang, x) for lang, x in FUNCTION_WORDS.items()]
-    texts += [(lang, part) for lang, parts in REFUSALS.items() for part in parts[1]]
-    evidence = Evidence(texts, composed + refusals, [a for _, a in pairs] + [x for _, _, *own in SEEDS for x in own])
+    texts = [(language(x), x) for x in {*passages, *(a for _, a in pairs), *(q for q, _ in pairs)} if x and x.strip()] + own_texts()
+    evidence = Evidence.of(texts, refusals, [a for _, a in pairs] + OWN_ANSWERS, max(1.0, len(pairs) / OWN_SHARE))
     return evidence, ClauseField.fit(*examples(pairs, evidence))
 
 
-def fit(queries: DataFrame, marco: DataFrame, sample: int = SAMPLE) -> tuple[Evidence, ClauseField]:
-    """``learn`` from at most ``sample`` queries and PASSAGES passages, by a hash of their ids."""
-    held = queries.orderBy(F.xxhash64("query_id"), "query_id").limit(sample).select("query", *FIELDS).collect()
-    rows = [(r["query"], [a for f in FIELDS for a in (r[f] or [])]) for r in held]
-    place = F.xxhash64("query_id", "passage_id")
-    passages = marco.where("passage_text is not null").orderBy(place, "passage_text").limit(PASSAGES).select("passage_text").collect() if {"passage_text", "passage_id"} <= set(marco.columns) else []
-    return learn(rows, [p["passage_text"] for p in passages])
+def _with_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Queries without outer blanks, with their complete answers and those that refuse."""
+    for batch in batches:
+        query = [(q or "").strip() for q in batch["query"]]
+        found = [complete_pairs([(q, [a for given in (one, two) if given is not None for a in given])]) for q, one, two in zip(query, batch[FIELDS[0]], batch[FIELDS[1]])]
+        yield batch.assign(query=query, complete=[[a for _, a in pairs] for pairs, _ in found], refusals=[refusals for _, refusals in found])
 
 
-def _prepared(marco: DataFrame, sample: int) -> tuple[DataFrame, Evidence, ClauseField]:
-    """One row per query, written down once for the sample and the work, in partitions for the work: the rows are few
-    bytes but much of it, so they aren't left to be put together by size."""
+def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        words: dict[str, Counter] = {}
+        for text in batch["text"]:
+            if text.strip():
+                words.setdefault(language(text), Counter()).update(plain_words(text))
+        yield pd.DataFrame([(lang, w, n) for lang, found in words.items() for w, n in found.items()], columns=["lang", "word", "n"])
+
+
+def _spoken_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        one, two = (Counter(w for texts in batch[name] for t in texts for w in set(person_words(t))) for name in ("refusals", "complete"))
+        yield pd.DataFrame([(w, one[w], two[w]) for w in {*one, *two}], columns=["word", "one", "two"])
+
+
+def learnt_evidence(read: DataFrame, marco: DataFrame) -> tuple[Evidence, float]:
+    """The evidence of all queries (with their pairs) and all passages, and how often what is our own counts. What comes
+    to the driver are trigrams by language, histograms and the words of refusals."""
+    spark = read.sparkSession
+    texts = read.select(F.explode("complete").alias("text")).unionByName(read.where(F.size("complete") > 0).select(F.col("query").alias("text")))
+    if "passage_text" in marco.columns:
+        texts = texts.unionByName(marco.where("passage_text is not null").select(F.col("passage_text").alias("text")))
+    own = Counter((lang, w) for lang, text in own_texts() for w in plain_words(text))
+    every = texts.distinct().mapInPandas(_word_counts, "lang string, word string, n long").unionByName(spark.createDataFrame([(*key, n) for key, n in own.items()], "lang string, word string, n long"))
+    words = Stage(every.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words").df
+    padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
+    gram = F.explode(F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.substring(padded, i, F.lit(3))))
+    grams: dict[str, Counter] = {}
+    for r in words.select("lang", "n", gram.alias("gram")).groupBy("lang", "gram").agg(F.sum("n").alias("n")).orderBy("lang", "gram").collect():
+        grams.setdefault(r["lang"], Counter())[r["gram"]] = r["n"]
+
+    number = read.agg(F.sum(F.size("refusals")), F.sum(F.size("complete"))).first()
+    refusals, answers = (n or 0 for n in number)
+    scale = max(1.0, answers / OWN_SHARE)
+    two = Counter(w for t in OWN_ANSWERS for w in set(person_words(t)))
+    spoken = read.select("refusals", "complete").mapInPandas(_spoken_counts, "word string, one long, two long").groupBy("word").agg(F.sum("one").alias("one"), F.sum("two").alias("two"))
+    one: dict[str, int] = {}
+    for r in spoken.where((F.col("one") > 0) | F.col("word").isin(sorted(composed_words()))).collect():
+        one[r["word"]] = r["one"]
+        two[r["word"]] += r["two"]
+    odds = log_odds({w: n for w, n in one.items() if n}, two, refusals, answers + len(OWN_ANSWERS), scale)
+    evidence = Evidence(grams, odds)
+    evidence.floor = _floors(words, evidence)
+    return evidence, scale
+
+
+def _floors(words: DataFrame, evidence: Evidence, bins: int = 4096) -> dict[str, float]:
+    """For each language the likelihood that one in QUANTILE of its words stays below, exactly: by a histogram, then
+    among the values of one bin."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"lang": batch["lang"], "score": [evidence.likelihood(w, lang, n) for lang, w, n in zip(batch["lang"], batch["word"], batch["n"])]})
+
+    scored = Stage(words.where("length(word) > 2").mapInPandas(run, "lang string, score double"), "likelihoods").df
+    place = F.floor(F.col("score") * bins)
+    histogram: dict[str, list] = {}
+    for r in scored.groupBy("lang", place.alias("bin")).count().orderBy("lang", "bin").collect():
+        histogram.setdefault(r["lang"], []).append((r["bin"], r["count"]))
+    left, chosen = {}, F.lit(False)
+    for lang, own in histogram.items():
+        at = sum(n for _, n in own) // QUANTILE
+        for b, n in own:
+            if at < n:
+                left[lang] = at
+                chosen = chosen | ((F.col("lang") == lang) & (place == b))
+                break
+            at -= n
+    floor = dict.fromkeys(evidence.grams, -math.inf)
+    for r in scored.where(chosen).groupBy("lang", "score").count().orderBy("lang", "score").collect():
+        if 0 <= left[r["lang"]] < r["count"]:
+            floor[r["lang"]] = r["score"]
+        left[r["lang"]] -= r["count"]
+    return floor
+
+
+WORKED = "query_id long, field string, sizes array<array<int>>, features array<binary>, x binary, y binary, n long"
+
+
+def worked(read: DataFrame, evidence: Evidence, tasks: int, buckets: int) -> DataFrame:
+    """The features of every answer with text, a row for each query and field that may be defective, and the counted
+    examples of every pair (x, y, n). The pairs of one bucket of queries, by a hash of the id, exchange their answers."""
+
+    def run(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
+        out, pairs, known = [], [], {}
+        for row in batch.sort_values("query_id").itertuples(index=False):
+            here: dict[str, tuple[list[str], np.ndarray]] = {}
+            for name in FIELDS:
+                given = getattr(row, name)
+                texts = [] if given is None else [a.strip() for a in given if has_text(a)]
+                for a in texts:
+                    if a not in here:
+                        here[a] = features(row.query, a, evidence)
+                if texts or name == "answers" or (given is not None and len(given) > 0):
+                    out.append((row.query_id, name, [[len(p) for p in here[a][0]] for a in texts], [packed(here[a][1]) for a in texts], None, None, None))
+            for a in row.complete:
+                pairs.append((row.query, a))
+                known[row.query, a] = here[a][1]
+        out += [(None, None, None, None, x, y, n) for (x, y), n in counted(zip(*made_of(pairs, pairs, evidence, str(key[0]), known))).items()]
+        return pd.DataFrame(out, columns=["query_id", "field", "sizes", "features", "x", "y", "n"]).astype({"query_id": "Int64", "n": "Int64"})
+
+    bucket = F.pmod(F.xxhash64("query_id"), F.lit(buckets))
+    return read.withColumn("bucket", bucket).repartition(tasks, "bucket").groupBy("bucket").applyInPandas(run, WORKED)
+
+
+def fitted(made: DataFrame, evidence: Evidence, scale: float, most: int = FIT_HERE) -> ClauseField:
+    """The field of all examples (x, y, n) and those of our own, which count ``scale`` times. Beyond ``most`` clauses of
+    different examples tasks work out the gradient of each round."""
+    own = [(*example, scale * n) for example, n in sorted(counted(zip(*made_of(OWN_PAIRS, [], evidence, "own", {}))).items())]
+    different = Stage(made.groupBy("x", "y").agg(F.sum("n").alias("n")), "examples").df
+    if (different.agg(F.sum(F.length("y"))).first()[0] or 0) <= most:
+        groups = grouped([*own, *sorted((bytes(r["x"]), bytes(r["y"]), float(r["n"])) for r in different.collect())])
+        return ClauseField.climb(lambda field: field.gradient(groups))
+    ours = grouped(own)
+
+    def gradient(field: ClauseField) -> np.ndarray:
+        parts = (field.weights, field.moves)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            at = ClauseField(*parts)
+            for batch in batches:
+                yield pd.DataFrame({"g": [at.gradient(grouped(zip(batch["x"], batch["y"], batch["n"])))]})
+
+        return sum((np.array(r["g"]) for r in different.mapInPandas(run, "g array<double>").collect()), field.gradient(ours))
+
+    return ClauseField.climb(gradient)
+
+
+def _prepared(marco: DataFrame) -> tuple[DataFrame, DataFrame, Evidence, ClauseField]:
+    """One row per query with its pairs, the features of its answers, and what was learnt of all of them. The rows are
+    few bytes but much work, so they are spread by their number and aren't left to be put together by size."""
     queries = Stage(one_per_query(marco), "queries").df
-    evidence, field = fit(queries, marco, sample)
+    number = queries.count()
+    tasks = max(1, min(-(-number // ROWS_A_TASK), 64 * queries.sparkSession.sparkContext.defaultParallelism))
+    schema = "query_id long, query string, answers array<string>, well_formed_answers array<string>, complete array<string>, refusals array<string>"
+    read = Stage(queries.repartition(tasks, "query_id").mapInPandas(_with_pairs, schema), "read").df
+    evidence, scale = learnt_evidence(read, marco)
+    done = Stage(worked(read, evidence, tasks, max(1, -(-number // ROWS_A_BUCKET))), "worked").df
+    field = fitted(done.where("x is not null").select("x", "y", "n"), evidence, scale)
     evidence._seen.clear()  # a cache, not to be sent along
-    tasks = max(1, min(-(-queries.count() // ROWS_A_TASK), 64 * queries.sparkSession.sparkContext.defaultParallelism))
-    return queries.repartition(tasks, "query_id"), evidence, field
+    return read, done.where("field is not null").select("query_id", "field", "sizes", "features"), evidence, field
 
 
-def pair_defects(marco: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(query_id, field, defect) of every defective pair. One shuffle brings each query to one row, a second one of these
-    rows spreads them over tasks."""
-    queries, evidence, field = _prepared(marco, sample)
+def pair_defects(marco: DataFrame) -> DataFrame:
+    """(query_id, field, defect) of every defective pair. One shuffle brings each query to one row, others spread these
+    rows over tasks; texts of passages are shuffled once, to count each only once."""
+    _, answers, _, field = _prepared(marco)
     parts = (field.weights, field.moves)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = ClauseField(*parts)
         for batch in batches:
-            out, waiting = [], []
-            for row in batch.itertuples(index=False):
-                for name in FIELDS:
-                    given = getattr(row, name)
-                    texts = [] if given is None else [a for a in given if has_text(a)]
-                    if not texts:
-                        if name == "answers" or (given is not None and len(given) > 0):
-                            out.append((row.query_id, name, "empty"))
-                        continue
-                    waiting.append((row.query_id, name, [features((row.query or "").strip(), a.strip(), evidence) for a in texts]))
-            made = [x for _, _, answers in waiting for x in answers]
-            tags = iter(own.tag([x for _, x in made])) if made else iter(())
-            for query_id, name, answers in waiting:
-                found = [defect_of(p, next(tags)) for p, _ in answers]
+            sizes = [[list(s) for s in row] for row in batch["sizes"]]
+            made = [unpacked(x, len(s)) for row, of in zip(batch["features"], sizes) for x, s in zip(row, of)]
+            tags = iter(own.tag(made))
+            out = []
+            for query_id, name, of in zip(batch["query_id"], batch["field"], sizes):
+                found = [defect_by(s, next(tags)) for s in of]
                 if None not in found:
-                    out.append((query_id, name, found[0]))
+                    out.append((query_id, name, found[0] if found else "empty"))
             yield pd.DataFrame(out, columns=["query_id", "field", "defect"])
 
-    return queries.mapInPandas(run, "query_id long, field string, defect string")
+    return answers.mapInPandas(run, "query_id long, field string, defect string")
 
 
-def tagged_clauses(marco: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def tagged_clauses(marco: DataFrame) -> DataFrame:
     """(query_id, field, answer, clause, text, tag) of every clause of every answer that has text."""
-    queries, evidence, field = _prepared(marco, sample)
+    read, _, evidence, field = _prepared(marco)
     parts = (field.weights, field.moves)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -603,9 +867,9 @@ def tagged_clauses(marco: DataFrame, sample: int = SAMPLE) -> DataFrame:
                     for i, a in enumerate(getattr(row, name) if getattr(row, name) is not None else ()):
                         if has_text(a):
                             where.append((row.query_id, name, i))
-                            made.append(features((row.query or "").strip(), a.strip(), evidence))
+                            made.append(features(row.query, a.strip(), evidence))
             tags = own.tag([x for _, x in made]) if made else []
             out = [(*at, k, text, TAGS[t]) for at, (texts, _), ts in zip(where, made, tags) for k, (text, t) in enumerate(zip(texts, ts))]
             yield pd.DataFrame(out, columns=["query_id", "field", "answer", "clause", "text", "tag"])
 
-    return queries.mapInPandas(run, "query_id long, field string, answer long, clause long, text string, tag string")
+    return read.mapInPandas(run, "query_id long, field string, answer long, clause long, text string, tag string")

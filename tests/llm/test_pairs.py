@@ -155,3 +155,37 @@ def test_rows(spark):
     assert rows(pairs.pair_defects(clashing(df)), "query_id", "field", "defect") == got
     assert rows(pairs.pair_defects(df.unionByName(df)), "query_id", "field", "defect") == got
     assert pairs.pair_defects(df.limit(0)).count() == 0 and pairs.tagged_clauses(df).count() > 0
+
+
+def test_learns_from_every_row(spark):
+    """Counts of words by language and the odds of words are those of the whole table, however many rows it has."""
+    q = "how tall is the north tower of town"
+    data = [(i, i, f"{q} {i}", [f"The tower of town {i} is {i} metres tall, zq{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}x.", "I cannot answer this question." if i % 9 else "I won't say, zounds."], None, i, f"An old passage tells of the gqx{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} near the river.") for i in range(6_500)]
+    df = spark.createDataFrame(data, SCHEMA + ", passage_id long, passage_text string")
+    evidence = pairs._prepared(df)[-2]
+    kept, refusals = pairs.complete_pairs([(r[2], r[3]) for r in data])
+    texts = [(pairs.language(x), x) for x in {*(r[6] for r in data), *(q for q, _ in kept), *(a for _, a in kept)}] + pairs.own_texts()
+    scale = len(kept) / pairs.OWN_SHARE
+    expected = pairs.Evidence.of(texts, refusals, [a for _, a in kept] + pairs.OWN_ANSWERS, scale)
+    assert len(kept) == len(refusals) == 6_500 and expected.grams["en"]["gqx"] >= 6_500
+    assert evidence.grams == {k: v for k, v in expected.grams.items() if v}
+    assert evidence.floor == {k: v for k, v in expected.floor.items() if k in evidence.grams}
+    assert evidence.odds == expected.odds
+
+
+def test_fit_by_tasks(spark, small):
+    """The gradients of tasks give the field that the driver fits by itself."""
+    evidence, _ = small
+    xs, ys = pairs.examples([(f"what is the depth of lake {c}", f"The depth of lake {c} is {i + 3} metres, or nearly so.") for i, c in enumerate("abcdefgh")], evidence)
+    made = spark.createDataFrame([(x, y, n) for (x, y), n in pairs.counted(zip(xs, ys)).items()], "x binary, y binary, n long")
+    here, there = pairs.fitted(made, evidence, 2.0), pairs.fitted(made, evidence, 2.0, most=0)
+    assert np.allclose(here.weights, there.weights) and np.allclose(here.moves, there.moves)
+
+
+def test_parts_of_wordings():
+    """What an ASCII text must hold of a wording leaves out no match."""
+    wordings = [a for parts in pairs.REFUSALS.values() for part in parts for a in part] + UNSEEN_REFUSALS + GOOD_ANSWERS + [a for _, a, _ in CASES]
+    wordings += ["I could n't say", "we dont know", "it can not be", "cantata", "do not have access", "i have to decline", "das darf ich nicht", "keine Auskunft", "no puedo", "je ne suis pas", "je n'ai pas acces, m'est impossible", "no me es posible", "como modelo", "en tant qu'assistant", "als KI", "as an AI", "AI model", "puedo_ver", "I'll", "J'y", "expertise"]
+    for text in wordings:
+        expected = {name for name, pattern in [*((n, p) for n, p, _ in pairs.WORDINGS), ("speaker", pairs.SPEAKER)] if pattern.search(text)}
+        assert pairs.wordings_in(text, pairs.tokens(text)) == expected, text
