@@ -137,7 +137,6 @@ CUT_TAILS = ["", "", "", "", "...", "…", " ...", " [...]", ",", " and", " of t
 #: Words of a language below whose likelihood a word counts as foreign: one in so many.
 QUANTILE = 8
 TOKEN = re.compile(r"[^\W_]+")
-LOWER_FIRST = re.compile(r"(?<![^\W_])[a-z][A-Za-z]*(?![^\W_])")
 SPOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 NAME = re.compile(r"(?<=[^\W_] )[A-Z][^\W\d_]+")
 INITIAL = re.compile(r"\b[A-Z]\.(?=\s*\w)|(?<=[a-z] )[IVX]+\b")
@@ -150,6 +149,7 @@ ELLIPSIS = re.compile(r"(\.\s?\.\s?\.|…|\[\s*(\.\.+|…)\s*\])[\"')\]]*$")
 CLOSED = re.compile(r"[.!?。！？][\"'”’»)\]]*$")
 ASCII_LETTER, ASCII_DIGIT = re.compile("[A-Za-z]"), re.compile("[0-9]")
 BEYOND_LATIN = re.compile("[^\\x00-\u024f\u1e00-\u1eff]")
+MARKS = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 QUOTE_SIGN, CLAUSE_SIGN = re.compile("[\"“«„]"), re.compile("[.!?,。！？]")
 CYRILLIC, CJK = re.compile(r"[Ѐ-ӿ]"), re.compile(r"[぀-ヿ㐀-鿿가-힯]")
 
@@ -171,7 +171,7 @@ def has_digit(text: str) -> bool:
 
 
 def script(text: str) -> str:
-    if not BEYOND_LATIN.search(text):
+    if text.isascii() or not BEYOND_LATIN.search(text):
         return "latin" if has_letter(text) else ""
     letters = sum(c.isalpha() for c in text)
     if not letters:
@@ -186,38 +186,69 @@ def script(text: str) -> str:
 def language_scores(text: str) -> dict[str, float]:
     """Evidence for each language outside of quotations: function words, and half a point for telling letters."""
     plain = unquoted(text)
+    return scores_of(plain, tokens(plain))
+
+
+def scores_of(plain: str, found: list[str]) -> dict[str, float]:
+    """``language_scores`` of a text without quotations and its words."""
     kind = script(plain)
     if kind in ("zh", "ru", "other"):
         return {kind: 9.0}
+    return latin_scores(found)
+
+
+def latin_scores(found: list[str]) -> dict[str, float]:
     scores = {"en": 0.0, "de": 0.0, "fr": 0.0, "es": 0.0}
-    found = tokens(plain)
     for of in filter(None, map(LANGUAGES_OF.get, found)):
         for k in of:
             scores[k] += 1.0
-    if not plain.isascii():
-        for t in found:
-            if not t.isascii() and t.islower():
-                for k, signs in LETTER_SIGNS.items():
-                    scores[k] += 0.5 * (not signs.isdisjoint(t))
+    for t in found:
+        if not t.isascii() and t.islower():
+            for k, signs in LETTER_SIGNS.items():
+                scores[k] += 0.5 * (not signs.isdisjoint(t))
     return scores
 
 
+class Chunks(dict):
+    """What stands between two blanks, with its ``latin_scores`` in half points as one number, which can be added up."""
+
+    BITS, MOST = 40, 200_000
+
+    def __missing__(self, chunk: str) -> int:
+        if len(self) > self.MOST:
+            self.clear()
+        score = self[chunk] = sum(int(2 * v) << (self.BITS * i) for i, v in enumerate(latin_scores(tokens(chunk)).values()))
+        return score
+
+    def language(self, plain: str, chunks: list[str]) -> str:
+        """``language`` of a text without quotations, given what stands between its blanks."""
+        kind = "latin" if plain.isascii() else script(plain)
+        if kind in ("zh", "ru", "other"):
+            return kind
+        total = sum(map(self.__getitem__, chunks))
+        return best_language({k: total >> (self.BITS * i) & ((1 << self.BITS) - 1) for i, k in enumerate(("en", "de", "fr", "es"))})
+
+
 @lru_cache(8192)
 def query_language(query: str) -> str:
     return language(query)
 
 
 def language(text: str) -> str:
-    scores = language_scores(text)
+    return best_language(language_scores(text))
+
+
+def best_language(scores: dict[str, float]) -> str:
     best = max(scores.values(), default=0)
     return next((k for k in ("zh", "ru", "other", "en", "de", "fr", "es") if scores.get(k, 0) == best), "en") if best else "en"
 
 
 def foreignness(text: str, lang: str) -> float:
     """How much more evidence there is for another language than for ``lang``."""
-    scores = language_scores(text)
-    if not scores or lang == "":
-        return 0.0
+    return difference(language_scores(text), lang)
+
+
+def difference(scores: dict[str, float], lang: str) -> float:
     return max((v for k, v in scores.items() if k != lang), default=0.0) - scores.get(lang, 0.0)
 
 
@@ -330,10 +361,20 @@ def trigrams(word: str) -> list[str]:
 
 def plain_words(text: str) -> list[str]:
     """Words that aren't set with a capital (names among them) nor within quotations."""
+    return words_of(text)[3]
+
+
+def words_of(text: str) -> tuple[list[str], str, list[str], list[str]]:
+    """The words of a text, the text without quotations, the words of this, and those of them that ``plain_words`` gives."""
     plain = unquoted(text)
     if plain.isascii():
-        return [w.lower() for w in LOWER_FIRST.findall(plain)]
-    return [w.lower() for w in TOKEN.findall(unicodedata.normalize("NFKC", plain)) if w[0].islower() and w.isalpha()]
+        found = TOKEN.findall(plain)
+        low = [w.lower() for w in found]
+        kept = [l for w, l in zip(found, low) if w[0] > "Z" and l.isalpha()]
+    else:
+        low = tokens(plain)
+        kept = [w.lower() for w in TOKEN.findall(unicodedata.normalize("NFKC", plain)) if w[0].islower() and w.isalpha()]
+    return (low if plain == text else tokens(text)), plain, low, kept
 
 
 FEATURES = (
@@ -345,7 +386,6 @@ FEATURES = (
 #: Features that rest on wordings and lists of words of a few languages, and the share of examples that leave them out.
 LEFT_OUT = 0.35
 LISTED = ("apology", "self", "unable", "speaker", "unable_speaker", "request", "answer_refuses", "foreign_weak", "foreign", "foreign_strong")
-INDEX = {f: i for i, f in enumerate(FEATURES)}
 ANY_FUNCTION_WORD = set().union(*WORDS.values()) - {"long", "many", "name", "definition", "population", "depth", "much", "me", "es", "it", "them", "there", "so"}
 
 
@@ -374,63 +414,130 @@ def wordings_in(text: str, words: list[str]) -> set[str]:
     return found | {"speaker"} if (not plain or not SPEAKERS.isdisjoint(words)) and SPEAKER.search(text) else found
 
 
+#: The bit of each feature in a clause's BYTES bytes, the first feature in the highest bit.
+BYTES = -(-len(FEATURES) // 8)
+BIT = {f: 1 << (8 * BYTES - 1 - i) for i, f in enumerate(FEATURES)}
+UNLISTED = ~sum(BIT[f] for f in LISTED)
+
+
 def features(query: str, answer: str, evidence: Evidence) -> tuple[list[str], np.ndarray]:
     """The clauses of an answer and their features."""
+    parts, bits = feature_bits(query, answer, evidence)
+    return parts, unpacked(packed(bits), len(parts)).astype(np.float32)
+
+
+def feature_bits(query: str, answer: str, evidence: Evidence) -> tuple[list[str], list[int]]:
+    """The clauses of an answer and the bits of their features."""
     text = (MARKUP.sub(" ", answer) if "<" in answer or "&" in answer else answer).strip()
     parts = clauses(text)
     q, q_set, q_matter, lang, q_script = query_facts(query)
-    words, own_text = tokens(text), LABEL.sub("", text)
+    words, unquoted_text, unquoted_words, found = words_of(text)
+    own_text = LABEL.sub("", text)
     a = words if own_text == text else tokens(own_text)
-    a_set = set(a)
+    a_set, long_enough = set(a), len(a) >= 3
     echo = bool(q) and bool(a) and len(a) % len(q) == 0 and a == q * (len(a) // len(q))
     spoken, wordings = person_words(text), wordings_in(text, words)
-    refuses = "unable" in wordings and "speaker" in wordings and bool(not wordings.isdisjoint(("apology", "request", "self")) or FIRST_WORD.match(text))
     plain = text.replace("\\", "")
     unbalanced = plain.count("(") > plain.count(")") or plain.count("[") > plain.count("]") or plain.count('"') % 2 == 1 or plain.count("„") > plain.count("“") or plain.count("«") > plain.count("»")
-    whole_lang = foreignness(text, lang)
     covered = len(q_set & a_set) / len(q_set) if q_set else 0.0
     bare = q_matter.isdisjoint(a_set) and not has_digit(text)  # nothing of the query's matter is taken up
-    found = plain_words(text) if lang else []
-    unlike, strange, few_own = evidence.unlike(found, lang) if lang else (0.0, 0, False)
-    strange_script = bool(lang) and script(unquoted(text)) not in ("", q_script)
-    likelier = evidence.likelier(found, lang) if lang else 0.0
-    prose = len(a) >= 3 and not SENTENCE_WORDS.isdisjoint(TOKEN.findall(text))
-    x = np.zeros((len(parts), len(FEATURES)), dtype=np.float32)
+    prose = long_enough and not SENTENCE_WORDS.isdisjoint(words if text.islower() and text.isascii() else TOKEN.findall(text))
+    every, whole_lang = BIT["bias"], 0.0  # what holds for all clauses
+    if covered:
+        every |= BIT["covers_all" if covered == 1 else "covers_most" if covered > 0.6 else "covers_some"]
+    if echo:
+        every |= BIT["echo"]
+    if "unable" in wordings and "speaker" in wordings and ("apology" in wordings or "request" in wordings or "self" in wordings or FIRST_WORD.match(text)):
+        every |= BIT["answer_refuses"]
+    if lang:
+        whole_lang = difference(scores_of(unquoted_text, unquoted_words), lang)
+        unlike, strange, few_own = evidence.unlike(found, lang)
+        likelier = evidence.likelier(found, lang)
+        if strange >= 3 and unlike >= 0.35:
+            every |= BIT["unlike_some"] | (BIT["unlike_most"] if unlike >= 0.5 else 0)
+        if likelier > 0.1:
+            every |= BIT["other_likelier"] | (BIT["other_much_likelier"] if likelier > 0.6 else 0)
+        if few_own:
+            every |= BIT["few_own"] | (BIT["few_own_unlike"] if unlike >= 0.2 else 0)
+        if script(unquoted_text) not in ("", q_script):
+            every |= BIT["other_script"]
+    out = []
     for i, part in enumerate(parts):
-        last, stripped = i == len(parts) - 1, part.strip()
+        bits, last, stripped = every, i == len(parts) - 1, part.strip()
         whole = stripped == text
         t = words if whole else tokens(part)
-        on = ["bias"]
-        on += ["first"] * (i == 0) + ["last"] * last
-        on.append("words_1" if len(t) <= 1 else "words_3" if len(t) <= 3 else "words_6" if len(t) <= 6 else "words_more")
-        ellipsis = last and ("." in stripped or "…" in stripped) and bool(ELLIPSIS.search(stripped))
-        closed = bool(CLOSED.search(stripped)) and not ellipsis
-        cut = last and not closed
-        hanging = bool(t) and t[-1] in ANY_FUNCTION_WORD
-        upper = stripped[:1].isupper() or (stripped[:1] in "\"'“«¿¡(" and stripped[1:2].isupper())
-        shares = len(a) >= 3 and not q_set.isdisjoint(t)
-        sentence = (upper and prose) or (shares and len(a) >= 4)
-        on += ["closed"] * closed + ["ellipsis"] * ellipsis + ["open"] * (last and unbalanced) + ["comma"] * (last and stripped[-1:] in ",;:-–—(") + ["hanging_word"] * (cut and hanging)
-        on += ["upper"] * upper + ["lower"] * stripped[:1].islower() + ["sentence"] * sentence + ["open_sentence"] * (cut and sentence and not echo) + ["bare_phrase"] * (not shares and not upper)
-        inside = sum([w in q_set for w in t]) / len(t) if t else 0.0
-        on += ["in_query_all"] if inside == 1 else ["in_query_most"] if inside > 0.6 else ["in_query_some"] if inside else []
-        on += ["covers_all"] if covered == 1 else ["covers_most"] if covered > 0.6 else ["covers_some"] if covered else []
-        on += ["echo"] * echo
         if not whole:
             spoken, wordings = person_words(stripped), wordings_in(stripped, t)
-        on += sorted(wordings) + ["unable_speaker"] * ("unable" in wordings and "speaker" in wordings)
+        if i == 0:
+            bits |= BIT["first"]
+        bits |= BIT["words_1" if len(t) <= 1 else "words_3" if len(t) <= 3 else "words_6" if len(t) <= 6 else "words_more"]
+        head = stripped[:1]
+        upper = head.isupper() or (head in "\"'“«¿¡(" and stripped[1:2].isupper())
+        shares = long_enough and not q_set.isdisjoint(t)
+        sentence = (upper and prose) or (shares and len(a) >= 4)
+        ellipsis = last and ("." in stripped or "…" in stripped) and bool(ELLIPSIS.search(stripped))
+        closed = not ellipsis and bool(CLOSED.search(stripped))
+        if closed:
+            bits |= BIT["closed"]
+        if last:
+            bits |= BIT["last"]
+            if ellipsis:
+                bits |= BIT["ellipsis"]
+            if unbalanced:
+                bits |= BIT["open"]
+            if stripped[-1:] in ",;:-–—(":
+                bits |= BIT["comma"]
+            if not closed:
+                if t and t[-1] in ANY_FUNCTION_WORD:
+                    bits |= BIT["hanging_word"]
+                if sentence and not echo:
+                    bits |= BIT["open_sentence"]
+        if upper:
+            bits |= BIT["upper"]
+        if head.islower():
+            bits |= BIT["lower"]
+        if sentence:
+            bits |= BIT["sentence"]
+        if not shares and not upper:
+            bits |= BIT["bare_phrase"]
+        inside = sum(map(q_set.__contains__, t)) / len(t) if t else 0.0
+        if inside:
+            bits |= BIT["in_query_all" if inside == 1 else "in_query_most" if inside > 0.6 else "in_query_some"]
+        for name in wordings:
+            bits |= BIT[name]
+        if "unable" in wordings and "speaker" in wordings:
+            bits |= BIT["unable_speaker"]
         own = (whole_lang if whole else max(foreignness(stripped, lang), whole_lang)) if lang else 0.0
-        on += (["foreign_strong", "foreign"] if own >= 3 else ["foreign"] if own >= 2 else ["foreign_weak"] if own >= 1 else []) + ["answer_refuses"] * refuses
+        if own >= 1:
+            bits |= BIT["foreign_strong"] | BIT["foreign"] if own >= 3 else BIT["foreign"] if own >= 2 else BIT["foreign_weak"]
         person, stance, talk = marks(spoken)
-        count, odds = person + stance + talk, evidence.stance(spoken)
-        on += ["person"] * person + ["stance"] * stance + ["talk"] * talk + ["person_stance"] * (person and stance) + ["person_talk"] * (person and talk) + ["stance_talk"] * (stance and talk)
-        on += ["all_marks"] * (count == 3) + ["marks_bare"] * (count >= 2 and bare) + ["all_marks_bare"] * (count == 3 and bare) + ["person_bare"] * (person and bare) + ["odds_some"] * (odds > 2) + ["odds_high"] * (odds > 5)
-        on += ["unlike_some"] * (strange >= 3 and unlike >= 0.35) + ["unlike_most"] * (strange >= 3 and unlike >= 0.5)
-        on += ["other_likelier"] * (likelier > 0.1) + ["other_much_likelier"] * (likelier > 0.6)
-        on += ["other_script"] * strange_script + ["few_own"] * few_own + ["few_own_unlike"] * (few_own and unlike >= 0.2)
-        on += ["digits"] * has_digit(part) + ["letters_none"] * (not has_letter(part))
-        x[i, [INDEX[f] for f in on]] = 1
-    return parts, x
+        if person:
+            bits |= BIT["person"] | (BIT["person_stance"] if stance else 0) | (BIT["person_talk"] if talk else 0) | (BIT["person_bare"] if bare else 0)
+        if stance:
+            bits |= BIT["stance"] | (BIT["stance_talk"] if talk else 0)
+        if talk:
+            bits |= BIT["talk"]
+        if person + stance + talk >= 2 and bare:
+            bits |= BIT["marks_bare"]
+        if person and stance and talk:
+            bits |= BIT["all_marks"] | (BIT["all_marks_bare"] if bare else 0)
+        odds = evidence.stance(spoken)
+        if odds > 2:
+            bits |= BIT["odds_some"] | (BIT["odds_high"] if odds > 5 else 0)
+        if has_digit(part):
+            bits |= BIT["digits"]
+        if not has_letter(part):
+            bits |= BIT["letters_none"]
+        out.append(bits)
+    return parts, out
+
+
+def packed(bits: list[int]) -> bytes:
+    return b"".join([b.to_bytes(BYTES, "big") for b in bits])
+
+
+def unpacked(x: bytes, clauses: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(x, dtype=np.uint8).reshape(clauses, BYTES), axis=1, count=len(FEATURES))
 
 
 def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -447,7 +554,8 @@ class ClauseField:
     @classmethod
     def fit(cls, sequences: list[np.ndarray], tags: list[np.ndarray], **how) -> ClauseField:
         """From examples in memory."""
-        groups = grouped([(*example, w) for example, w in sorted(counted(zip(sequences, tags)).items())])
+        number = Counter((np.packbits(x != 0, axis=1).tobytes(), y.astype(np.uint8).tobytes()) for x, y in zip(sequences, tags))
+        groups = grouped([(*example, w) for example, w in sorted(number.items())])
         return cls.climb(lambda field: field.gradient(groups), **how)
 
     @classmethod
@@ -512,19 +620,6 @@ class ClauseField:
         return out
 
 
-def packed(x: np.ndarray) -> bytes:
-    return np.packbits(x != 0, axis=1).tobytes()
-
-
-def unpacked(x: bytes, clauses: int) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(x, dtype=np.uint8).reshape(clauses, -1), axis=1, count=len(FEATURES))
-
-
-def counted(made: Iterable[tuple[np.ndarray, np.ndarray]]) -> Counter:
-    """Numbers of equal examples, by their features and tags in bytes."""
-    return Counter((packed(x), y.astype(np.uint8).tobytes()) for x, y in made)
-
-
 def grouped(numbers: Iterable[tuple[bytes, bytes, float]]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(features, tags, weight) of counted examples, those of one length together."""
     by_length: dict[int, list] = {}
@@ -538,8 +633,10 @@ def has_text(answer: str | None) -> bool:
     """False for a blank, a bare mark or a wording for no answer."""
     if answer is None:
         return False
-    bare = re.sub(r"^[\W_]+|[\W_]+$", "", answer)
-    return not NO_ANSWER.fullmatch(bare)
+    bare = answer.strip(MARKS)
+    if not (bare[:1].isalnum() and bare[-1:].isalnum()):
+        bare = re.sub(r"^[\W_]+|[\W_]+$", "", bare)
+    return len(bare) > 40 or not NO_ANSWER.fullmatch(bare)  # none of these wordings is half as long
 
 
 #: What is made of a complete answer; by their number, how often. "no echo" is an answer that isn't a copy.
@@ -551,11 +648,12 @@ OWN_PAIRS = [(q, a) for _, q, full, short in SEEDS for a in (full, short)] * 12
 
 def examples(pairs: list[tuple[str, str]], evidence: Evidence, seed: int = 3) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Training sequences from (query, complete answer) pairs and the seeds."""
-    return made_of([*pairs, *OWN_PAIRS], pairs, evidence, str(seed), {})
+    made = made_of([*pairs, *OWN_PAIRS], pairs, evidence, str(seed), {})
+    return [unpacked(x, len(y)) for x, y in made], [np.frombuffer(y, dtype=np.uint8) for _, y in made]
 
 
-def made_of(held: list[tuple[str, str]], pool: list[tuple[str, str]], evidence: Evidence, seed: str, known: dict[tuple[str, str], np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Training sequences from ``held`` pairs, with the seeds and the answers of ``pool`` as answers to other queries;
+def made_of(held: list[tuple[str, str]], pool: list[tuple[str, str]], evidence: Evidence, seed: str, known: dict[tuple[str, str], list[int]]) -> list[tuple[bytes, bytes]]:
+    """Training sequences, features and tags in bytes, from ``held`` pairs, with the seeds and the answers of ``pool`` as answers to other queries;
     ``known`` features aren't worked out again."""
     rng = random.Random(seed)
     pick = rng.choice
@@ -591,18 +689,14 @@ def made_of(held: list[tuple[str, str]], pool: list[tuple[str, str]], evidence:
                 cut = a[:keep] if rng.random() < 0.5 else a[: a.rfind(" ", 0, keep)]
                 if len(tokens(cut)) >= 3:
                     made.append((q, cut.rstrip() + pick(CUT_TAILS), kind))
-    listed = [INDEX[f] for f in LISTED]
-    xs, ys = [], []
+    out = []
     for q, a, kind in made:
-        x = known[q, a].copy() if (q, a) in known else features(q, a, evidence)[1]
+        bits = known.get((q, a)) or feature_bits(q, a, evidence)[1]
         if rng.random() < LEFT_OUT:
-            x[:, listed] = 0
-        y = np.full(len(x), TAGS.index(kind))
-        if kind == "unfinished":
-            y[:-1] = TAGS.index("answer")
-        xs.append(x)
-        ys.append(y)
-    return xs, ys
+            bits = [b & UNLISTED for b in bits]
+        rest = "answer" if kind == "unfinished" else kind
+        out.append((packed(bits), bytes([TAGS.index(rest)] * (len(bits) - 1) + [TAGS.index(kind)])))
+    return out
 
 
 def refusal(lang: str, pick) -> str:
@@ -637,17 +731,20 @@ def complete_pairs(rows: list[tuple[str | None, list[str]]]) -> tuple[list[tuple
     out, refusals = [], []
     for query, answers in rows:
         q = (query or "").strip()
-        matter = set(tokens(q)) - ANY_FUNCTION_WORD
+        q_words, _, matter, _, _ = query_facts(q)
         for a in answers:
-            if not has_text(a) or not q or tokens(a) == tokens(q):
+            if not q or not has_text(a):
+                continue
+            words = tokens(a)
+            if words == q_words:
                 continue
             person, stance, talk = marks(person_words(a))
-            if person and (stance or talk) or (UNABLE.search(a) and SPEAKER.search(a)):
-                if stance and talk and not matter & set(tokens(a)):
+            if person and (stance or talk) or ((not a.isascii() or not SPEAKERS.isdisjoint(words)) and SPEAKER.search(a) and UNABLE.search(a)):
+                if stance and talk and matter.isdisjoint(words):
                     refusals.append(a)
                 continue
             whole = CLOSED.search(a.strip()) and not ELLIPSIS.search(a.strip())
-            if foreignness(a, query_language(q)) < 2 and (whole or len(tokens(a)) <= 4):
+            if (whole or len(words) <= 4) and foreignness(a, query_language(q)) < 2:
                 out.append((q, a.strip()))
     return out, refusals
 
@@ -689,12 +786,20 @@ def _with_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(lang, word, n) of each batch. Words never hold a blank, so they are cut once for each different chunk."""
+    known = Chunks()
     for batch in batches:
-        words: dict[str, Counter] = {}
+        counts: dict[str, Counter] = {}
         for text in batch["text"]:
-            if text.strip():
-                words.setdefault(language(text), Counter()).update(plain_words(text))
-        yield pd.DataFrame([(lang, w, n) for lang, found in words.items() for w, n in found.items()], columns=["lang", "word", "n"])
+            plain = unquoted(text)
+            chunks = plain.split()
+            counts.setdefault(known.language(plain, chunks), Counter()).update(chunks)
+        words: Counter = Counter()
+        for lang, found in counts.items():
+            for chunk, n in found.items():
+                for w in words_of(chunk)[3]:
+                    words[lang, w] += n
+        yield pd.DataFrame([(*key, n) for key, n in words.items()], columns=["lang", "word", "n"])
 
 
 def _spoken_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -774,19 +879,19 @@ def worked(read: DataFrame, evidence: Evidence, tasks: int, buckets: int) -> Dat
     def run(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
         out, pairs, known = [], [], {}
         for row in batch.sort_values("query_id").itertuples(index=False):
-            here: dict[str, tuple[list[str], np.ndarray]] = {}
+            here: dict[str, tuple[list[str], list[int]]] = {}
             for name in FIELDS:
                 given = getattr(row, name)
                 texts = [] if given is None else [a.strip() for a in given if has_text(a)]
                 for a in texts:
                     if a not in here:
-                        here[a] = features(row.query, a, evidence)
+                        here[a] = feature_bits(row.query, a, evidence)
                 if texts or name == "answers" or (given is not None and len(given) > 0):
                     out.append((row.query_id, name, [[len(p) for p in here[a][0]] for a in texts], [packed(here[a][1]) for a in texts], None, None, None))
             for a in row.complete:
                 pairs.append((row.query, a))
                 known[row.query, a] = here[a][1]
-        out += [(None, None, None, None, x, y, n) for (x, y), n in counted(zip(*made_of(pairs, pairs, evidence, str(key[0]), known))).items()]
+        out += [(None, None, None, None, x, y, n) for (x, y), n in Counter(made_of(pairs, pairs, evidence, str(key[0]), known)).items()]
         return pd.DataFrame(out, columns=["query_id", "field", "sizes", "features", "x", "y", "n"]).astype({"query_id": "Int64", "n": "Int64"})
 
     bucket = F.pmod(F.xxhash64("query_id"), F.lit(buckets))
@@ -796,7 +901,7 @@ def worked(read: DataFrame, evidence: Evidence, tasks: int, buckets: int) -> Dat
 def fitted(made: DataFrame, evidence: Evidence, scale: float, most: int = FIT_HERE) -> ClauseField:
     """The field of all examples (x, y, n) and those of our own, which count ``scale`` times. Beyond ``most`` clauses of
     different examples tasks work out the gradient of each round."""
-    own = [(*example, scale * n) for example, n in sorted(counted(zip(*made_of(OWN_PAIRS, [], evidence, "own", {}))).items())]
+    own = [(*example, scale * n) for example, n in sorted(Counter(made_of(OWN_PAIRS, [], evidence, "own", {})).items())]
     different = Stage(made.groupBy("x", "y").agg(F.sum("n").alias("n")), "examples").df
     if (different.agg(F.sum(F.length("y"))).first()[0] or 0) <= most:
         groups = grouped([*own, *sorted((bytes(r["x"]), bytes(r["y"]), float(r["n"])) for r in different.collect())])

@@ -176,8 +176,8 @@ def test_learns_from_every_row(spark):
 def test_fit_by_tasks(spark, small):
     """The gradients of tasks give the field that the driver fits by itself."""
     evidence, _ = small
-    xs, ys = pairs.examples([(f"what is the depth of lake {c}", f"The depth of lake {c} is {i + 3} metres, or nearly so.") for i, c in enumerate("abcdefgh")], evidence)
-    made = spark.createDataFrame([(x, y, n) for (x, y), n in pairs.counted(zip(xs, ys)).items()], "x binary, y binary, n long")
+    held = [(f"what is the depth of lake {c}", f"The depth of lake {c} is {i + 3} metres, or nearly so.") for i, c in enumerate("abcdefgh")]
+    made = spark.createDataFrame([(x, y, 1) for x, y in pairs.made_of(held, held, evidence, "1", {})], "x binary, y binary, n long")
     here, there = pairs.fitted(made, evidence, 2.0), pairs.fitted(made, evidence, 2.0, most=0)
     assert np.allclose(here.weights, there.weights) and np.allclose(here.moves, there.moves)
 
